@@ -13,19 +13,14 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 
 
-def clock_hour(ts: Column) -> Column:
+def clock_hour(ts: str) -> Column:
     """Start of the clock hour."""
     return F.window(ts, "1 hour").start
 
 
-def wall_micros(ts: Column) -> Column:
+def wall_micros(ts: str) -> Column:
     """Microseconds of wall-clock time since 1970-01-01, as a long."""
-    days = F.unix_date(ts.cast("date")).cast("long")
-    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
-    seconds = F.date_part(F.lit("SECOND"), ts)
-    return minutes * (60 * MICROS) + (seconds * MICROS).cast("long")
-
-
-def seconds(n: int | float) -> Column:
-    """A day-time interval of ``n`` seconds."""
-    return F.make_dt_interval(secs=F.lit(n).cast("decimal(18,6)"))
+    return F.expr(
+        f"(unix_date(date({ts})) * 86400L + hour({ts}) * 3600 + minute({ts}) * 60) * {MICROS}"
+        f" + bigint(date_part('SECOND', {ts}) * {MICROS})"
+    )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.operators.rules import address_alerts, distributed_attack
-from knockwatch.schemas import ALERTS
 from knockwatch.settings import RuleSettings
 
 # The order in which the rules report.
@@ -15,7 +14,8 @@ RULE_ORDER = ["static_threshold", "adaptive_threshold", "account_diversity", "of
 
 def keep_first(alerts: DataFrame) -> DataFrame:
     """One alert per (ip, rule): the earliest, then the first target username."""
-    first = F.struct(F.coalesce("window_start", "first_seen"), "target_username")
+    order = [c for c in ("window_start", "first_seen", "target_username") if c in alerts.columns]
+    first = F.struct(*order)
     one = alerts.groupBy("rule", "ip").agg(F.min_by(F.struct(*alerts.columns), first).alias("alert"))
     return one.select("alert.*")
 
@@ -30,10 +30,7 @@ def all_alerts(
     """
     wide = address_alerts(attempts, baseline, settings)
     subnets = distributed_attack(attempts, settings)
-    for f in ALERTS.fields:
-        if f.name not in subnets.columns:
-            subnets = subnets.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return wide.unionByName(keep_first(subnets.select(*ALERTS.fieldNames())))
+    return wide.unionByName(keep_first(subnets), allowMissingColumns=True)
 
 
 def ordered(alerts: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from knockwatch.settings import RuleSettings
 
 def hourly_failures_by_ip(attempts: DataFrame) -> DataFrame:
     """Failures per address and clock hour."""
-    hourly = failed_attempts(attempts).groupBy("ip", clock_hour(F.col("timestamp")).alias("hour"))
+    hourly = failed_attempts(attempts).groupBy("ip", clock_hour("timestamp").alias("hour"))
     return hourly.agg(F.count(F.lit(1)).alias("failures"))
 
 

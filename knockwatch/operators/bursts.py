@@ -20,10 +20,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knockwatch.functions.times import MICROS, seconds, wall_micros
+from knockwatch.functions.times import MICROS, wall_micros
 
 SLICE_SECONDS = 6 * 3600
 
@@ -50,43 +50,37 @@ def trailing_ranges(
     sliced = counts.withColumn(
         "_slice",
         F.window("timestamp", f"{slice_seconds + longest} seconds", f"{slice_seconds} seconds").start,
-    ).withColumn("_at", wall_micros(F.col("timestamp")))
+    ).withColumn("_at", wall_micros("timestamp"))
 
-    ordered = Window.partitionBy(*keys, "_slice").orderBy("_at")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spec = ", ".join(f"`{k}`" for k in [*keys, "_slice"])
-    steps = {}
+    ordered = f"partition by {', '.join(f'`{k}`' for k in [*keys, '_slice'])} order by _at"
+    so_far = f"({ordered} rows between unbounded preceding and current row)"
+    steps, behind, ranges = [], [], []
     for c in sorted({b.count for b in bursts}):
-        event_time = F.when(F.col(c) > 0, F.col("timestamp"))
-        steps[f"_total_{c}"] = F.sum(c).over(so_far)
-        steps[f"_first_{c}"] = F.min(event_time).over(so_far)
-        steps[f"_next_{c}"] = F.expr(
-            f"lead(if(`{c}` > 0, timestamp, null)) ignore nulls over (partition by {spec} order by _at)"
-        )
-    stepped = sliced.withColumns(steps)
-
-    behind = {}
+        time = f"if(`{c}` > 0, timestamp, null)"
+        steps += [
+            f"sum(`{c}`) over {so_far} as `_total_{c}`",
+            f"min({time}) over {so_far} as `_first_{c}`",
+            f"lead({time}) ignore nulls over ({ordered}) as `_next_{c}`",
+        ]
     for b in bursts:
-        left = ordered.rangeBetween(Window.unboundedPreceding, -b.width * MICROS - 1)
-        behind[f"_behind_{b.name}"] = F.sum(b.count).over(left)
-        behind[f"_after_{b.name}"] = F.max(f"_next_{b.count}").over(left)
-    ranged = stepped.withColumns(behind)
-
+        left = f"({ordered} range between unbounded preceding and {b.width * MICROS + 1} preceding)"
+        behind += [
+            f"sum(`{b.count}`) over {left} as `_behind_{b.name}`",
+            f"max(`_next_{b.count}`) over {left} as `_after_{b.name}`",
+        ]
+        ranges.append(
+            f"if(`{b.count}` > 0, struct("
+            f"`_total_{b.count}` - coalesce(`_behind_{b.name}`, 0) as failed_count,"
+            f" coalesce(`_after_{b.name}`, `_first_{b.count}`) as window_start,"
+            f" timestamp as window_end), null) as `{b.name}`"
+        )
     # A slice answers for the rows after its opening copy; so each row is answered once.
-    owned = ranged.filter(F.col("timestamp") >= F.col("_slice") + seconds(longest))
-    return owned.select(*counts.columns, *[_range_struct(b).alias(b.name) for b in bursts])
-
-
-def _range_struct(b: Burst) -> Column:
-    count = F.col(f"_total_{b.count}") - F.coalesce(F.col(f"_behind_{b.name}"), F.lit(0))
-    start = F.coalesce(F.col(f"_after_{b.name}"), F.col(f"_first_{b.count}"))
-    return F.when(
-        F.col(b.count) > 0,
-        F.struct(
-            count.alias("failed_count"),
-            start.alias("window_start"),
-            F.col("timestamp").alias("window_end"),
-        ),
+    owned = f"timestamp >= _slice + interval '{longest}' second"
+    return (
+        sliced.selectExpr("*", *steps)
+        .selectExpr("*", *behind)
+        .filter(owned)
+        .selectExpr(*[f"`{c}`" for c in counts.columns], *ranges)
     )
 
 
@@ -95,21 +89,10 @@ def best(name: str) -> Column:
 
     Written as the least (-count, end, start), so that the running best is one struct.
     """
-    r = F.col(name)
-    return F.min(
-        F.when(
-            r.isNotNull(),
-            F.struct(
-                (-r["failed_count"]).alias("negated"),
-                r["window_end"].alias("window_end"),
-                r["window_start"].alias("window_start"),
-            ),
-        )
-    ).alias(name)
-
-
-def burst_count(name: str) -> Column:
-    return -F.col(name)["negated"]
+    return F.expr(
+        f"min(if({name} is null, null, struct(-{name}.failed_count as negated,"
+        f" {name}.window_end as window_end, {name}.window_start as window_start))) as {name}"
+    )
 
 
 def best_burst(
@@ -128,10 +111,10 @@ def best_burst(
     return (
         ranges.groupBy(*keys)
         .agg(best("burst"))
-        .select(
-            *keys,
-            burst_count("burst").alias("failed_count"),
-            F.col("burst.window_start").alias("window_start"),
-            F.col("burst.window_end").alias("window_end"),
+        .selectExpr(
+            *[f"`{k}`" for k in keys],
+            "-burst.negated as failed_count",
+            "burst.window_start as window_start",
+            "burst.window_end as window_end",
         )
     )

@@ -8,13 +8,14 @@ plan); ``all_alerts`` computes the profile once for all of them.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.functions.addresses import subnet_key
-from knockwatch.functions.times import seconds
 from knockwatch.operators.attempts import failed_attempts
-from knockwatch.operators.bursts import Burst, best, burst_count, trailing_ranges
+from knockwatch.operators.bursts import Burst, best, trailing_ranges
 from knockwatch.schemas import ALERTS
 from knockwatch.settings import RuleSettings
 
@@ -47,14 +48,13 @@ def failures_by_username(attempts: DataFrame) -> DataFrame:
     )
 
 
-def _off_hours_totals(settings: RuleSettings, n: Column) -> list[Column]:
+def _off_hours_totals(settings: RuleSettings, n: str) -> list[Column]:
     """Aggregates over rows with a ``timestamp`` that stand for ``n`` failures each."""
-    hour = F.hour("timestamp")
-    off = (hour < settings.working_hours_start) | (hour >= settings.working_hours_end)
+    off = f"hour(timestamp) < {settings.working_hours_start} or hour(timestamp) >= {settings.working_hours_end}"
     return [
-        F.sum(F.when(off, n)).alias("off_count"),
-        F.min(F.when(off, F.col("timestamp"))).alias("off_first"),
-        F.max(F.when(off, F.col("timestamp"))).alias("off_last"),
+        F.expr(f"sum(if({off}, {n}, 0)) as off_count"),
+        F.expr(f"min(if({off}, timestamp, null)) as off_first"),
+        F.expr(f"max(if({off}, timestamp, null)) as off_last"),
     ]
 
 
@@ -67,7 +67,7 @@ def ip_profile(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFr
     ]
     ranges = trailing_ranges(failures_by_second(attempts), ["ip"], bursts)
     return ranges.groupBy("ip").agg(
-        *[best(b.name) for b in bursts], *_off_hours_totals(settings, F.col("n"))
+        *[best(b.name) for b in bursts], *_off_hours_totals(settings, "n")
     )
 
 
@@ -96,77 +96,72 @@ def with_baseline(
 
 
 # ---------------------------------------------------------------- rules
-# Each returns (condition, alert fields) over the profile.
-
 
-def _burst_fields(name: str) -> dict[str, Column]:
-    return {
-        "failed_count": burst_count(name),
-        "window_start": F.col(name)["window_start"],
-        "window_end": F.col(name)["window_end"],
-    }
 
+@dataclass(frozen=True)
+class ProfileRule:
+    """A rule over the profile: when it fires, and the fields of its alert (SQL text)."""
 
-def _static(settings: RuleSettings):
-    return burst_count("static") >= settings.static_threshold, {
-        "rule": F.lit("static_threshold"),
-        "ip": F.col("ip"),
-        **_burst_fields("static"),
-    }
+    name: str
+    condition: str
+    fields: dict[str, str]
 
+    def alerts(self, profile: DataFrame) -> DataFrame:
+        own = [f"{expression} as {field}" for field, expression in self.fields.items()]
+        return profile.filter(self.condition).selectExpr(f"'{self.name}' as rule", "ip", *own)
 
-def adaptive_limit(settings: RuleSettings) -> Column:
-    scaled = (F.col("baseline") * F.lit(settings.adaptive_multiplier) / 2).cast("int")
-    return F.greatest(F.lit(settings.adaptive_floor), scaled)
+    def wide(self) -> str:
+        """The alert in the common schema, null when the rule does not fire."""
+        known = {"rule": f"'{self.name}'", "ip": "ip", **self.fields}
+        fields = [
+            f"cast({known.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}"
+            for f in ALERTS.fields
+        ]
+        return f"if({self.condition}, struct({', '.join(fields)}), null)"
 
 
-def _adaptive(settings: RuleSettings):
-    return burst_count("adaptive") >= adaptive_limit(settings), {
-        "rule": F.lit("adaptive_threshold"),
-        "ip": F.col("ip"),
-        "threshold_used": adaptive_limit(settings),
-        **_burst_fields("adaptive"),
+def _burst_fields(name: str) -> dict[str, str]:
+    return {
+        "failed_count": f"-{name}.negated",
+        "window_start": f"{name}.window_start",
+        "window_end": f"{name}.window_end",
     }
 
 
-def _diversity(settings: RuleSettings):
-    return F.col("unique_usernames") >= settings.account_diversity_min, {
-        "rule": F.lit("account_diversity"),
-        "ip": F.col("ip"),
-        "unique_usernames": F.col("unique_usernames"),
-        **_burst_fields("diversity"),
-    }
+def static_rule(s: RuleSettings) -> ProfileRule:
+    return ProfileRule(
+        "static_threshold", f"-static.negated >= {s.static_threshold}", _burst_fields("static")
+    )
 
 
-def _off_hours(settings: RuleSettings):
-    return F.col("off_count") >= settings.off_hours_min, {
-        "rule": F.lit("off_hours"),
-        "ip": F.col("ip"),
-        "failed_count": F.col("off_count"),
-        "first_seen": F.col("off_first"),
-        "last_seen": F.col("off_last"),
-    }
+def adaptive_rule(s: RuleSettings) -> ProfileRule:
+    limit = f"greatest({s.adaptive_floor}, int(baseline * double('{s.adaptive_multiplier}') / 2))"
+    return ProfileRule(
+        "adaptive_threshold",
+        f"-adaptive.negated >= {limit}",
+        {"threshold_used": limit, **_burst_fields("adaptive")},
+    )
 
 
-def _alerts(profile: DataFrame, rule) -> DataFrame:
-    condition, fields = rule
-    return profile.filter(condition).select(*[c.alias(name) for name, c in fields.items()])
+def diversity_rule(s: RuleSettings) -> ProfileRule:
+    return ProfileRule(
+        "account_diversity",
+        f"unique_usernames >= {s.account_diversity_min}",
+        {"unique_usernames": "unique_usernames", **_burst_fields("diversity")},
+    )
 
 
-def _wide(rule) -> Column:
-    """The rule's alert in the common schema, null when it does not fire."""
-    condition, fields = rule
-    return F.when(
-        condition,
-        F.struct(
-            *[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ALERTS.fields]
-        ),
+def off_hours_rule(s: RuleSettings) -> ProfileRule:
+    return ProfileRule(
+        "off_hours",
+        f"off_count >= {s.off_hours_min}",
+        {"failed_count": "off_count", "first_seen": "off_first", "last_seen": "off_last"},
     )
 
 
 def static_threshold(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Addresses with at least ``static_threshold`` failures within ``static_window`` seconds."""
-    return _alerts(ip_profile(attempts, settings), _static(settings))
+    return static_rule(settings).alerts(ip_profile(attempts, settings))
 
 
 def adaptive_threshold(
@@ -175,20 +170,20 @@ def adaptive_threshold(
     """Addresses whose best ``adaptive_window`` burst reaches half their baseline times the
     multiplier (and the floor)."""
     profile = with_baseline(ip_profile(attempts, settings), baseline, settings)
-    return _alerts(profile, _adaptive(settings))
+    return adaptive_rule(settings).alerts(profile)
 
 
 def account_diversity(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Addresses that try many accounts. Usernames are counted over the whole input,
     ``failed_count`` is the best burst, so it can be the smaller number."""
     profile = ip_profile(attempts, settings).join(usernames_tried(attempts, settings), "ip")
-    return _alerts(profile, _diversity(settings))
+    return diversity_rule(settings).alerts(profile)
 
 
 def off_hours(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Addresses with failures outside working hours. With start > end every hour is outside."""
-    totals = failed_attempts(attempts).groupBy("ip").agg(*_off_hours_totals(settings, F.lit(1)))
-    return _alerts(totals, _off_hours(settings))
+    totals = failed_attempts(attempts).groupBy("ip").agg(*_off_hours_totals(settings, "1"))
+    return off_hours_rule(settings).alerts(totals)
 
 
 def distributed_attack(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
@@ -211,12 +206,14 @@ def distributed_attack(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -
             F.max("last").alias("window_end"),
         )
     )
-    close = F.col("window_end") - F.col("window_start") <= seconds(settings.distributed_window)
-    return groups.filter((F.size("ips") >= settings.distributed_min_ips) & close).select(
-        F.lit("distributed_attack").alias("rule"),
-        F.concat("subnet", F.lit(".0/24")).alias("ip"),
-        F.array_sort("ips").alias("attacking_ips"),
-        F.col("username").alias("target_username"),
+    return groups.filter(
+        f"size(ips) >= {settings.distributed_min_ips}"
+        f" and window_end - window_start <= interval '{settings.distributed_window}' second"
+    ).selectExpr(
+        "'distributed_attack' as rule",
+        "concat(subnet, '.0/24') as ip",
+        "array_sort(ips) as attacking_ips",
+        "username as target_username",
         "failed_count",
         "window_start",
         "window_end",
@@ -229,6 +226,6 @@ def address_alerts(
     """The alerts of rules 1 to 4 in the common schema, from one pass over the profile."""
     profile = with_baseline(ip_profile(attempts, settings), baseline, settings)
     profile = profile.join(usernames_tried(attempts, settings), "ip", "left")
-    rules = [_static(settings), _adaptive(settings), _diversity(settings), _off_hours(settings)]
-    fired = F.array_compact(F.array(*[_wide(r) for r in rules]))
-    return profile.select(F.explode(fired).alias("alert")).select("alert.*")
+    rules = [static_rule(settings), adaptive_rule(settings), diversity_rule(settings), off_hours_rule(settings)]
+    fired = f"array_compact(array({', '.join(r.wide() for r in rules)}))"
+    return profile.selectExpr(f"explode({fired}) as alert").select("alert.*")

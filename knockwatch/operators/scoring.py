@@ -6,21 +6,34 @@ Spark broadcasts what it has measured to be small and shuffles the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.functions.addresses import covered_prefix, dotted_prefixes, is_subnet
 from knockwatch.sources.readers import read_attackers
 
 
-def detected_addresses(alerts: DataFrame) -> DataFrame:
-    """Distinct addresses named by an alert (subnets left out)."""
-    return alerts.filter(~is_subnet(F.col("ip"))).select("ip").distinct()
+def _reported(alerts: DataFrame) -> DataFrame:
+    """One row per alert: ``kind`` (address or prefix) and the ``value`` it names."""
+    ip = F.col("ip")
+    subnet = is_subnet(ip)
+    return alerts.select(
+        F.when(subnet, "prefix").otherwise("address").alias("kind"),
+        F.when(subnet, covered_prefix(ip)).otherwise(ip).alias("value"),
+    )
 
 
-def _subnet_alerts(alerts: DataFrame) -> DataFrame:
+def _known(attackers: DataFrame) -> DataFrame:
+    """Each attacker ``ip`` with all it can be reported by: itself and its dotted prefixes."""
     ip = F.col("ip")
-    return alerts.filter(is_subnet(ip)).select(ip.alias("subnet"), covered_prefix(ip).alias("prefix"))
+    listed = read_attackers(attackers)
+    prefixes = listed.select("ip", F.lit("prefix").alias("kind"), F.explode(dotted_prefixes(ip)).alias("value"))
+    return listed.select("ip", F.lit("address").alias("kind"), ip.alias("value")).unionByName(prefixes)
+
+
+def detected_addresses(alerts: DataFrame) -> DataFrame:
+    """Distinct addresses named by an alert (subnets left out)."""
+    return alerts.filter(~is_subnet(F.col("ip"))).select("ip").distinct()
 
 
 def subnet_coverage(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
@@ -30,57 +43,44 @@ def subnet_coverage(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     a dot. Attackers are counted per dotted prefix first, so the join adds one number
     to each alert and emits no pairs.
     """
+    ip = F.col("ip")
     inside = (
-        read_attackers(attackers)
-        .select(F.explode(dotted_prefixes(F.col("ip"))).alias("prefix"))
-        .groupBy("prefix")
+        _known(attackers)
+        .filter("kind = 'prefix'")
+        .groupBy(F.col("value").alias("prefix"))
         .agg(F.count(F.lit(1)).alias("attackers"))
     )
     return (
-        _subnet_alerts(alerts)
+        alerts.filter(is_subnet(ip))
+        .select(ip.alias("subnet"), covered_prefix(ip).alias("prefix"))
         .join(inside, "prefix", "left")
-        .select("subnet", "prefix", F.coalesce("attackers", F.lit(0)).cast("long").alias("attackers"))
-        .withColumn("covered", F.col("attackers") > 0)
+        .selectExpr(
+            "subnet", "prefix", "coalesce(attackers, 0L) as attackers", "attackers is not null as covered"
+        )
     )
 
 
 def attacker_status(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     """Each attacker with ``direct`` (its address was reported) and ``in_subnet``
-    (a reported subnet contains it)."""
-    ip = F.col("ip")
+    (a reported subnet contains it).
 
-    def key(kind: str, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
-
-    known = read_attackers(attackers).select(
-        "ip",
-        F.explode(
-            F.concat(
-                F.array(key("address", ip)),
-                F.transform(dotted_prefixes(ip), lambda p: key("prefix", p)),
-            )
-        ).alias("key"),
-    )
-    reported = (
-        alerts.select(
-            F.when(is_subnet(ip), key("prefix", covered_prefix(ip))).otherwise(key("address", ip)).alias("key")
+    The reported keys are distinct, so the join keeps the rows of the attacker side.
+    """
+    hits = _reported(alerts).distinct().withColumn("hit", F.lit(True))
+    return (
+        _known(attackers)
+        .join(hits, ["kind", "value"], "left")
+        .groupBy("ip")
+        .agg(
+            F.expr("count_if(hit and kind = 'address') > 0 as direct"),
+            F.expr("count_if(hit and kind = 'prefix') > 0 as in_subnet"),
         )
-        .distinct()
-        .withColumn("hit", F.lit(True))
-    )
-    joined = known.select("ip", "key.kind", "key.value").join(
-        reported.select("key.kind", "key.value", "hit"), ["kind", "value"], "left"
-    )
-    return joined.groupBy("ip").agg(
-        (F.count_if((F.col("kind") == "address") & F.col("hit")) > 0).alias("direct"),
-        (F.count_if((F.col("kind") == "prefix") & F.col("hit")) > 0).alias("in_subnet"),
     )
 
 
 def missed_attackers(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     """Attackers that no alert names and no reported subnet contains."""
-    status = attacker_status(alerts, attackers)
-    return status.filter(~F.col("direct") & ~F.col("in_subnet")).select("ip")
+    return attacker_status(alerts, attackers).filter("not direct and not in_subnet").select("ip")
 
 
 def detection_metrics(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
@@ -90,54 +90,47 @@ def detection_metrics(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     any attacker, so it can exceed the number of attackers. Without a count of true
     negatives the false-positive rate is 1 as soon as there is a false positive.
     Ratios are rounded half-even to four places; an empty denominator gives 0.
+
+    Reports and attackers meet by counting both per key in one grouping, without a
+    join: an address counts once, a subnet once per alert.
     """
-    status = attacker_status(alerts, attackers)
-    parts = [
-        status.select(
-            F.col("direct").alias("hit"),
-            (~F.col("direct") & ~F.col("in_subnet")).alias("missed"),
-            F.lit(False).alias("reported"),
-        ),
-        detected_addresses(alerts).select(
-            F.lit(False).alias("hit"), F.lit(False).alias("missed"), F.lit(True).alias("reported")
-        ),
-        subnet_coverage(alerts, attackers).select(
-            F.col("covered").alias("hit"), F.lit(False).alias("missed"), F.lit(True).alias("reported")
-        ),
-    ]
-    counts = (
-        parts[0]
-        .unionByName(parts[1])
-        .unionByName(parts[2])
-        .agg(
-            F.count_if("hit").alias("true_positives"),
-            (F.count_if("reported") - F.count_if("hit")).alias("false_positives"),
-            F.count_if("missed").alias("false_negatives"),
-        )
+    per_key = (
+        _reported(alerts)
+        .selectExpr("kind", "value", "1L as reports", "0L as attackers")
+        .unionByName(_known(attackers).selectExpr("kind", "value", "0L as reports", "1L as attackers"))
+        .groupBy("kind", "value")
+        .agg(F.sum("reports").alias("reports"), F.sum("attackers").alias("attackers"))
+        .filter("reports > 0")
+        .selectExpr("if(kind = 'address', 1L, reports) as weight", "attackers > 0 as hit")
+    )
+    found = per_key.agg(
+        F.expr("coalesce(sum(if(hit, weight, 0L)), 0L) as tp"),
+        F.expr("coalesce(sum(if(hit, 0L, weight)), 0L) as fp"),
+        F.expr("0L as fn"),
     )
-    tp, fp, fn = F.col("true_positives"), F.col("false_positives"), F.col("false_negatives")
-
-    def ratio(part: Column, whole: Column) -> Column:
-        return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
-
-    ratios = counts.withColumns({"p": ratio(tp, tp + fp), "r": ratio(tp, tp + fn), "fpr": ratio(fp, fp)})
-    p, r = F.col("p"), F.col("r")
-    return ratios.select(
-        "true_positives",
-        "false_positives",
-        "false_negatives",
-        F.bround("p", 4).alias("precision"),
-        F.bround("r", 4).alias("recall"),
-        F.bround(ratio(2 * p * r, p + r), 4).alias("f1_score"),
-        F.bround("fpr", 4).alias("false_positive_rate"),
+    missed = missed_attackers(alerts, attackers).selectExpr("0L as tp", "0L as fp", "1L as fn")
+    counts = found.unionByName(missed).agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    return (
+        counts.selectExpr("*", f"{_ratio('tp', 'tp + fp')} as p", f"{_ratio('tp', 'tp + fn')} as r")
+        .selectExpr(
+            "tp as true_positives",
+            "fp as false_positives",
+            "fn as false_negatives",
+            "bround(p, 4) as precision",
+            "bround(r, 4) as recall",
+            f"bround({_ratio('2 * p * r', 'p + r')}, 4) as f1_score",
+            f"{_ratio('fp', 'fp')} as false_positive_rate",
+        )
     )
 
 
+def _ratio(part: str, whole: str) -> str:
+    return f"if({whole} > 0, ({part}) / ({whole}), 0D)"
+
+
 def metric_percentages(metrics: DataFrame) -> DataFrame:
     """Precision, recall and F1 as percentages; a missing number counts as 0."""
     names = ["precision", "recall", "f1_score"]
-    pairs = [
-        F.struct(F.lit(n).alias("metric"), (F.coalesce(F.col(n), F.lit(0.0)) * 100).alias("percentage"))
-        for n in names
-    ]
-    return metrics.select(F.explode(F.array(*pairs)).alias("m")).select("m.*")
+    known = {n: n if n in metrics.columns else "null" for n in names}
+    pairs = ", ".join(f"'{n}', coalesce({known[n]}, 0D) * 100" for n in names)
+    return metrics.selectExpr(f"stack({len(names)}, {pairs}) as (metric, percentage)")

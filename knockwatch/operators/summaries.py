@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from knockwatch.functions.addresses import has_four_parts, is_private, subnet_key
 from knockwatch.functions.times import clock_hour
 from knockwatch.operators.attempts import failed_attempts
-from knockwatch.operators.bursts import burst_count
-from knockwatch.operators.rules import adaptive_limit, ip_profile, with_baseline
+from knockwatch.operators.rules import adaptive_rule, ip_profile, static_rule, with_baseline
 from knockwatch.settings import RuleSettings
 
 
@@ -32,7 +31,7 @@ def failure_timeline(attempts: DataFrame) -> DataFrame:
     """Failures per clock hour, in order; hours without failures are absent."""
     return (
         failed_attempts(attempts)
-        .groupBy(clock_hour(F.col("timestamp")).alias("hour"))
+        .groupBy(clock_hour("timestamp").alias("hour"))
         .agg(F.count(F.lit(1)).alias("failures"))
         .orderBy("hour")
     )
@@ -70,8 +69,8 @@ def static_vs_adaptive(
     """Number of alerts of the static and of the adaptive rule, from one profile."""
     profile = with_baseline(ip_profile(attempts, settings), baseline, settings)
     counted = profile.agg(
-        F.count_if(burst_count("static") >= settings.static_threshold).alias("Static"),
-        F.count_if(burst_count("adaptive") >= adaptive_limit(settings)).alias("Adaptive"),
+        F.count_if(F.expr(static_rule(settings).condition)).alias("Static"),
+        F.count_if(F.expr(adaptive_rule(settings).condition)).alias("Adaptive"),
     )
     return counted.unpivot([], ["Static", "Adaptive"], "strategy", "alerts")
 
