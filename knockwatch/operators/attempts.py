@@ -91,5 +91,5 @@ def normalize_attempts(attempts: DataFrame) -> DataFrame:
 
 
 def failed_attempts(attempts: DataFrame) -> DataFrame:
-    """Failed attempts; any other status is ignored by every rule."""
-    return attempts.filter(F.col("status") == "failed")
+    """Failed attempts with a time; any other status is ignored by every rule."""
+    return attempts.filter("status = 'failed' and timestamp is not null")

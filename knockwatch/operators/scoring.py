@@ -14,12 +14,22 @@ from knockwatch.sources.readers import read_attackers
 
 
 def _reported(alerts: DataFrame) -> DataFrame:
-    """One row per alert: ``kind`` (address or prefix) and the ``value`` it names."""
+    """What the alerts name, once each: ``kind`` (address or prefix), ``value`` and the
+    number of ``reports``.
+
+    A join adds the null test to one of its sides; stated here, both uses of this table
+    in ``detection_metrics`` have the same plan and share one computation.
+    """
     ip = F.col("ip")
     subnet = is_subnet(ip)
-    return alerts.select(
-        F.when(subnet, "prefix").otherwise("address").alias("kind"),
-        F.when(subnet, covered_prefix(ip)).otherwise(ip).alias("value"),
+    return (
+        alerts.select(
+            F.when(subnet, "prefix").otherwise("address").alias("kind"),
+            F.when(subnet, covered_prefix(ip)).otherwise(ip).alias("value"),
+        )
+        .filter("value is not null")
+        .groupBy("kind", "value")
+        .agg(F.count(F.lit(1)).alias("reports"))
     )
 
 
@@ -62,18 +72,19 @@ def subnet_coverage(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
 
 def attacker_status(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     """Each attacker with ``direct`` (its address was reported) and ``in_subnet``
-    (a reported subnet contains it).
+    (a reported subnet contains it)."""
+    return _status(_reported(alerts), _known(attackers))
 
-    The reported keys are distinct, so the join keeps the rows of the attacker side.
-    """
-    hits = _reported(alerts).distinct().withColumn("hit", F.lit(True))
+
+def _status(reported: DataFrame, known: DataFrame) -> DataFrame:
+    # Reported keys are distinct: the join keeps the rows of the attacker side, and a
+    # prefix shared by very many attackers can be split there.
     return (
-        _known(attackers)
-        .join(hits, ["kind", "value"], "left")
+        known.join(reported, ["kind", "value"], "left")
         .groupBy("ip")
         .agg(
-            F.expr("count_if(hit and kind = 'address') > 0 as direct"),
-            F.expr("count_if(hit and kind = 'prefix') > 0 as in_subnet"),
+            F.expr("count_if(reports > 0 and kind = 'address') > 0 as direct"),
+            F.expr("count_if(reports > 0 and kind = 'prefix') > 0 as in_subnet"),
         )
     )
 
@@ -91,25 +102,23 @@ def detection_metrics(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     negatives the false-positive rate is 1 as soon as there is a false positive.
     Ratios are rounded half-even to four places; an empty denominator gives 0.
 
-    Reports and attackers meet by counting both per key in one grouping, without a
-    join: an address counts once, a subnet once per alert.
+    Both halves start from the same table of reported keys, so that Spark computes the
+    alerts once and reuses that shuffle.
     """
-    per_key = (
-        _reported(alerts)
-        .selectExpr("kind", "value", "1L as reports", "0L as attackers")
-        .unionByName(_known(attackers).selectExpr("kind", "value", "0L as reports", "1L as attackers"))
-        .groupBy("kind", "value")
-        .agg(F.sum("reports").alias("reports"), F.sum("attackers").alias("attackers"))
-        .filter("reports > 0")
-        .selectExpr("if(kind = 'address', 1L, reports) as weight", "attackers > 0 as hit")
+    reported, known = _reported(alerts), _known(attackers)
+    per_key = known.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("attackers"))
+    found = reported.join(per_key, ["kind", "value"], "left").selectExpr(
+        "if(attackers > 0, true, false) as hit", "if(kind = 'address', 1L, reports) as weight"
+    )
+    totals = found.selectExpr("if(hit, weight, 0L) as tp", "if(hit, 0L, weight) as fp", "0L as fn")
+    missed = (
+        _status(reported, known)
+        .filter("not direct and not in_subnet")
+        .selectExpr("0L as tp", "0L as fp", "1L as fn")
     )
-    found = per_key.agg(
-        F.expr("coalesce(sum(if(hit, weight, 0L)), 0L) as tp"),
-        F.expr("coalesce(sum(if(hit, 0L, weight)), 0L) as fp"),
-        F.expr("0L as fn"),
+    counts = totals.unionByName(missed).agg(
+        *[F.expr(f"coalesce(sum({c}), 0L) as {c}") for c in ("tp", "fp", "fn")]
     )
-    missed = missed_attackers(alerts, attackers).selectExpr("0L as tp", "0L as fp", "1L as fn")
-    counts = found.unionByName(missed).agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
     return (
         counts.selectExpr("*", f"{_ratio('tp', 'tp + fp')} as p", f"{_ratio('tp', 'tp + fn')} as r")
         .selectExpr(
