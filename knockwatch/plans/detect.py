@@ -26,11 +26,11 @@ from knockwatch.sources.readers import read_lines
 from knockwatch.sources.writers import ISO_SECONDS, write_alerts_csv, write_alerts_json, write_metrics_json
 
 
-def _work_folder(spark: SparkSession, out: str) -> str:
-    """A folder of its own for this run: in the shared folder the cluster names in
-    ``spark.checkpoint.dir``, or beside the results where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or out).rstrip('/')}/work-{uuid.uuid4().hex}"
+def _work_folder(spark: SparkSession, work: str | None, out: str) -> str:
+    """A folder of its own for this run: in ``work`` if given, else in the shared folder
+    the cluster names in ``spark.checkpoint.dir``, else beside the results."""
+    shared = work or spark.conf.get("spark.checkpoint.dir", None) or out
+    return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
 
 
 def _stored(table: DataFrame, path: str, *partitions: str) -> DataFrame:
@@ -48,6 +48,7 @@ def detect(
     year: int | None = None,
     summaries: bool = False,
     mode: str = "errorifexists",
+    work: str | None = None,
     **settings,
 ) -> None:
     """Read the logs at ``paths`` and write folders below ``out``:
@@ -60,18 +61,20 @@ def detect(
 
     The text is read once. The parsed lines are stored by log date; rejected lines
     stay in that table as rows of nulls (which cost next to nothing in columnar files),
-    so both counts come from it, exactly, without a second pass over the logs.
+    so both counts come from it, exactly, without a second pass over the logs. That
+    table and the alerts go to a new folder in ``work`` (default: the folder named by
+    ``spark.checkpoint.dir``, or ``out`` where that is unset); it can be deleted later.
     """
     rules = replace(RuleSettings(), **settings)
-    work = _work_folder(spark, out)
+    folder = _work_folder(spark, work, out)
 
     lines = read_lines(spark, paths)
     outcomes = normalize_outcomes(parse_outcomes(lines, year).drop("line"))
-    parsed = _stored(outcomes, f"{work}/attempts", "log_date")
+    parsed = _stored(outcomes, f"{folder}/attempts", "log_date")
     attempts = parsed.filter(F.col("log_date").isNotNull())
 
     baseline = global_baseline(attempts, rules)
-    alerts = _stored(all_alerts(attempts, baseline, rules), f"{work}/alerts")
+    alerts = _stored(all_alerts(attempts, baseline, rules), f"{folder}/alerts")
 
     def save(table: DataFrame, name: str) -> None:
         table.write.mode(mode).option("timestampNTZFormat", ISO_SECONDS).json(f"{out}/{name}")

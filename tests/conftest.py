@@ -16,13 +16,20 @@ BASE = datetime(2026, 1, 12, 10, 0, 0)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def shared(tmp_path_factory):
+    """Stands for the cluster's shared checkpoint folder."""
+    return tmp_path_factory.mktemp("shared")
+
+
+@pytest.fixture(scope="session")
+def spark(shared):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(shared))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
