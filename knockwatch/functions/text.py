@@ -18,6 +18,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def strip_start(text: Column) -> Column:
+    """Remove white space at the start; much cheaper on long text than at the end."""
+    return F.ltrim(text, F.lit(WHITESPACE))
+
+
 def drop_bad_bytes(text: Column) -> Column:
     """Remove byte sequences that are not UTF-8; valid text is left untouched."""
     return F.when(F.is_valid_utf8(text), text).otherwise(F.regexp_replace(text, "\ufffd", ""))

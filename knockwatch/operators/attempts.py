@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.functions.sshd import log_time, message_fields
-from knockwatch.functions.text import strip
+from knockwatch.functions.text import strip, strip_start
 
 
 def parse_outcomes(lines: DataFrame, year: int | None = None, column: str = "line") -> DataFrame:
@@ -20,30 +20,25 @@ def parse_outcomes(lines: DataFrame, year: int | None = None, column: str = "lin
     """
     year = datetime.now().year if year is None else year
     kept = [c for c in lines.columns if c != column]
+    # White space at the end makes no difference to the patterns; it is stripped
+    # only from the line that is handed on, and so only where that is used.
     fields = (
-        lines.withColumn(column, strip(F.col(column)))
-        .filter(F.col(column) != "")
-        .withColumn("fields", message_fields(F.col(column)))
+        lines.withColumn("_text", strip_start(F.col(column)))
+        .filter("_text <> ''")
+        .select(*kept, strip(F.col(column)).alias(column), message_fields(F.col("_text")).alias("_fields"))
     )
-
-    def field(i):
-        return F.get("fields", F.lit(i))
-
-    matched = field(0) == ""
-    timed = fields.select(
-        *kept,
-        column,
-        "fields",
-        F.when(matched, log_time(year, field(4), field(5), field(6))).alias("timestamp"),
+    field = [F.get("_fields", F.lit(i)) for i in range(7)]
+    timed = fields.withColumn(
+        "timestamp", F.when(field[0] == "", log_time(year, field[4], field[5], field[6]))
     )
     parsed = F.col("timestamp").isNotNull()
     return timed.select(
         *kept,
         column,
         "timestamp",
-        F.when(parsed, field(1)).alias("username"),
-        F.when(parsed, field(2)).alias("ip"),
-        F.when(parsed, field(3)).alias("status"),
+        F.when(parsed, field[1]).alias("username"),
+        F.when(parsed, field[2]).alias("ip"),
+        F.when(parsed, field[3]).alias("status"),
     )
 
 

@@ -46,11 +46,16 @@ def trailing_ranges(
 
     All bursts share one shuffle and one sort.
     """
-    longest = max(b.width for b in bursts)
-    sliced = counts.withColumn(
-        "_slice",
-        F.window("timestamp", f"{slice_seconds + longest} seconds", f"{slice_seconds} seconds").start,
-    ).withColumn("_at", wall_micros("timestamp"))
+    longest = max(b.width for b in bursts) * MICROS
+    size = slice_seconds * MICROS
+    # Slice k opens at k * size and answers for the rows from `longest` after that on; a
+    # row also opens every later slice that has begun by then (one at most, unless
+    # slices are shorter than the longest range).
+    sliced = (
+        counts.withColumn("_at", wall_micros("timestamp"))
+        .selectExpr("*", f"{_floor_div(f'_at - {longest}', size)} as _home", f"{_floor_div('_at', size)} as _last")
+        .selectExpr("*", "explode(sequence(_home, _last)) as _slice")
+    )
 
     ordered = f"partition by {', '.join(f'`{k}`' for k in [*keys, '_slice'])} order by _at"
     so_far = f"({ordered} rows between unbounded preceding and current row)"
@@ -74,16 +79,18 @@ def trailing_ranges(
             f" coalesce(`_after_{b.name}`, `_first_{b.count}`) as window_start,"
             f" timestamp as window_end), null) as `{b.name}`"
         )
-    # A slice answers for the rows after its opening copy; so each row is answered once.
-    owned = f"timestamp >= _slice + interval '{longest}' second"
     return (
         sliced.selectExpr("*", *steps)
         .selectExpr("*", *behind)
-        .filter(owned)
+        .filter("_slice = _home")
         .selectExpr(*[f"`{c}`" for c in counts.columns], *ranges)
     )
 
 
+def _floor_div(value: str, size: int) -> str:
+    return f"((({value}) - pmod({value}, {size}L)) div {size}L)"
+
+
 def best(name: str) -> Column:
     """Aggregate: the largest range of column ``name``; the earliest end wins a tie.
 
