@@ -33,10 +33,10 @@ def _work_folder(spark: SparkSession, work: str | None, out: str) -> str:
     return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
 
 
-def _stored(table: DataFrame, path: str, *partitions: str) -> DataFrame:
+def _stored(table: DataFrame, path: str) -> DataFrame:
     """Write ``table`` and go on from the files: nothing above is computed again,
     also when executors are lost."""
-    table.write.partitionBy(*partitions).parquet(path)
+    table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
@@ -57,11 +57,12 @@ def detect(
     ``attackers`` also ``metrics``; with ``summaries`` the tables ``top_failing_ips``,
     ``failure_timeline``, ``rule_share``, ``static_vs_adaptive``, ``external_subnets``
     and (with attackers) ``metric_percentages``. ``settings`` are fields of
-    ``RuleSettings``.
+    ``RuleSettings``; the static/adaptive comparison always uses the defaults.
 
-    The text is read once. The parsed lines are stored by log date; rejected lines
-    stay in that table as rows of nulls (which cost next to nothing in columnar files),
-    so both counts come from it, exactly, without a second pass over the logs. That
+    The text is read once, and each reading task writes one file, whatever the order of
+    the lines. Rejected lines stay in the stored table as rows of nulls (which cost next
+    to nothing in columnar files), so both counts come from it, exactly, without a second
+    pass over the logs. That
     table and the alerts go to a new folder in ``work`` (default: the folder named by
     ``spark.checkpoint.dir``, or ``out`` where that is unset); it can be deleted later.
     """
@@ -70,8 +71,8 @@ def detect(
 
     lines = read_lines(spark, paths)
     outcomes = normalize_outcomes(parse_outcomes(lines, year).drop("line"))
-    parsed = _stored(outcomes, f"{folder}/attempts", "log_date")
-    attempts = parsed.filter(F.col("log_date").isNotNull())
+    parsed = _stored(outcomes, f"{folder}/attempts")
+    attempts = parsed.filter(F.col("timestamp").isNotNull())
 
     baseline = global_baseline(attempts, rules)
     alerts = _stored(all_alerts(attempts, baseline, rules), f"{folder}/alerts")
@@ -89,7 +90,7 @@ def detect(
         save(top_failing_ips(attempts), "top_failing_ips")
         save(failure_timeline(attempts), "failure_timeline")
         save(rule_share(alerts), "rule_share")
-        save(static_vs_adaptive(attempts, baseline, rules), "static_vs_adaptive")
+        save(static_vs_adaptive(attempts, global_baseline(attempts)), "static_vs_adaptive")
         save(external_subnets(attempts), "external_subnets")
         if attackers is not None:
             metrics = spark.read.schema(detection_metrics(alerts, attackers).schema).json(f"{out}/metrics")
@@ -97,13 +98,7 @@ def detect(
 
 
 def normalize_outcomes(outcomes: DataFrame) -> DataFrame:
-    """Normalised attempts with their ``log_date``; rejected lines keep nulls throughout."""
+    """Normalised attempts; rejected lines keep nulls throughout."""
     parsed = F.col("timestamp").isNotNull()
     clean = normalize_attempts(outcomes)
-    return clean.withColumns(
-        {
-            "username": F.when(parsed, F.col("username")),
-            "ip": F.when(parsed, F.col("ip")),
-            "log_date": F.col("timestamp").cast("date"),
-        }
-    )
+    return clean.withColumns({c: F.when(parsed, F.col(c)) for c in ("username", "ip")})

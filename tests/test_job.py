@@ -117,12 +117,12 @@ def test_detect(spark, tmp_path, shared, own_folder):
     attackers = spark.createDataFrame([("203.0.113.9",), ("45.32.10.77",), ("6.6.6.6",)], "ip string")
     out = tmp_path / "out"
     work = tmp_path / "work" if own_folder else shared
-    before = set(glob.glob(f"{work}/work-*/attempts/log_date=2026-01-12"))
+    before = set(glob.glob(f"{work}/work-*/attempts/_SUCCESS"))
     detect(
         spark, str(tmp_path / "logs" / "*.log"), str(out), attackers, year=2026, summaries=True,
         work=str(work) if own_folder else None,
     )
-    assert len(set(glob.glob(f"{work}/work-*/attempts/log_date=2026-01-12")) - before) == 1
+    assert len(set(glob.glob(f"{work}/work-*/attempts/_SUCCESS")) - before) == 1
 
     got = sorted((r["rule"], r["ip"], r["failed_count"]) for r in objects(out / "alerts_json"))
     assert got == [
