@@ -37,7 +37,7 @@ NAMED = "select * from fails where username <> ''"
 HOURLY = "select ip, date_trunc('hour', timestamp) as hour, count(*) as failures from fails group by all"
 BASE = """
 select count(*) as quiet_buckets, cast(median(failures) as double) as median,
-  cast(coalesce(greatest(3, cast(trunc(median(failures)) as integer) + 4), 5) as integer) as baseline
+  case when count(*) > 0 then greatest(3, cast(trunc(median(failures)) as integer) + 4) else 5 end as baseline
 from hourly where failures <= 2
 """
 

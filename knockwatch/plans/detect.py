@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,25 +20,12 @@ from knockwatch.operators.summaries import (
     static_vs_adaptive,
     top_failing_ips,
 )
+from knockwatch.plans.restart import stored, work_folder
 from knockwatch.settings import RuleSettings
 from knockwatch.sources.readers import read_lines
 from knockwatch.sources.writers import ISO_SECONDS, write_alerts_csv, write_alerts_json, write_metrics_json
 
 
-def _work_folder(spark: SparkSession, work: str | None, out: str) -> str:
-    """A folder of its own for this run: in ``work`` if given, else in the shared folder
-    the cluster names in ``spark.checkpoint.dir``, else beside the results."""
-    shared = work or spark.conf.get("spark.checkpoint.dir", None) or out
-    return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
-
-
-def _stored(table: DataFrame, path: str) -> DataFrame:
-    """Write ``table`` and go on from the files: nothing above is computed again,
-    also when executors are lost."""
-    table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
 def detect(
     spark: SparkSession,
     paths: str | list[str],
@@ -67,15 +53,15 @@ def detect(
     ``spark.checkpoint.dir``, or ``out`` where that is unset); it can be deleted later.
     """
     rules = replace(RuleSettings(), **settings)
-    folder = _work_folder(spark, work, out)
+    folder = work_folder(spark, work, out)
 
     lines = read_lines(spark, paths)
     outcomes = normalize_outcomes(parse_outcomes(lines, year).drop("line"))
-    parsed = _stored(outcomes, f"{folder}/attempts")
+    parsed = stored(outcomes, f"{folder}/attempts")
     attempts = parsed.filter(F.col("timestamp").isNotNull())
 
     baseline = global_baseline(attempts, rules)
-    alerts = _stored(all_alerts(attempts, baseline, rules), f"{folder}/alerts")
+    alerts = stored(all_alerts(attempts, baseline, rules), f"{folder}/alerts")
 
     def save(table: DataFrame, name: str) -> None:
         table.write.mode(mode).option("timestampNTZFormat", ISO_SECONDS).json(f"{out}/{name}")
