@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from knockwatch.plans.event_views import ATTACKERS_SQL, ATTEMPTS_SQL, LINES_SQL, LOG_YEAR
 
+# The line patterns, in the dialect of this check.
 HEAD = r"^(\w{3}\s+\d+\s+\d{2}:\d{2}:\d{2})\s+\S+\s+sshd\[\d+\]:\s+"
 IP = r"(\d{1,3}(?:\.\d{1,3}){3})"
 FAILED = HEAD + r"Failed password for(?:\s+invalid user)?\s+(\S+)\s+from\s+" + IP + r"\s+port\s+\d+"
