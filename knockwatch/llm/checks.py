@@ -2,4 +2,129 @@
 
 from __future__ import annotations
 
-CHECKS: dict[str, str] = {}
+from knockwatch.llm.host_rules import MAX_HOST_RATE, RULES
+from knockwatch.llm.mixing import MAX_EPOCHS
+from knockwatch.llm.queries import OTHER_WEIGHT, WEIGHTS
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATE = f"""
+with d as (select row_number() over () as row, doc_id, {_WORDS.format(text=_LOWERED)} as w from documents),
+b as (select item_id, {_WORDS.format(text=_LOWERED)} as w from benchmark),
+windows as (
+  select item_id, 10 as size, array_to_string(w[i:i + 9], ' ') as win
+  from (select *, unnest(range(1, len(w) - 8)) as i from b where len(w) >= 10)
+  union select item_id, len(w), array_to_string(w, ' ') from b where len(w) between 1 and 9),
+sizes as (select distinct size from windows),
+places as (
+  select row, i, size, array_to_string(w[i:i + size - 1], ' ') as win
+  from (select *, unnest(range(1, len(w) - size + 2)) as i from d, sizes where len(w) >= size)),
+found as (select row, i, size, item_id from places join windows using (size, win)),
+hit as (select row, count(distinct p) as n_hit from (select row, unnest(range(i, i + size)) as p from found) group by row),
+items as (
+  select row, count(distinct item_id) as n_items,
+    array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as ids
+  from found group by row)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (row) left join items using (row)
+"""
+
+
+def _host_rules() -> str:
+    names = list(RULES)
+    flags = ", ".join(f"avg(case when {rule} then 1.0 else 0.0 end) as p_{n}" for n, rule in RULES.items())
+    moments = ", ".join(f"avg(p_{n}) as m_{n}, var_pop(p_{n}) as v_{n}" for n in names)
+    strength = ", ".join(
+        f"case when v_{n} > 1e-12 and v_{n} < m_{n} * (1 - m_{n}) then m_{n} * (1 - m_{n}) / v_{n} - 1 else 1.0 end as s_{n}"
+        for n in names
+    )
+    rates = ", ".join(f"(p_{n} * n + m_{n} * s_{n}) / (n + s_{n})" for n in names)
+    return rf"""
+with d as (
+  select row_number() over () as row, doc_id, coalesce(source, '') as host, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+windows as (
+  select row, i, array_to_string(w[i:i + 7], ' ') as win
+  from (select row, w, unnest(range(1, len(w) - 6)) as i from d where len(w) >= 8)),
+again as (
+  select row, count(distinct p) as n_repeat_words
+  from (select row, unnest(range(i, i + 8)) as p
+        from (select row, i, count(*) over (partition by row, win) as n from windows) where n > 1)
+  group by row),
+counts as (
+  select row, doc_id, host, len(w) as n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words
+  from d left join again using (row)),
+hosts as (select host, count(*) as n, {flags} from counts group by host),
+prior as (select *, {strength} from (select {moments} from hosts)),
+verdict as (select host, greatest({rates}) <= {MAX_HOST_RATE} as host_kept from hosts, prior)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  ({RULES["few_words"]}) or ({RULES["repeated_words"]}) as base_failed,
+  not (({RULES["few_words"]}) or ({RULES["repeated_words"]})) and host_kept as kept
+from counts join verdict using (host)
+"""
+
+
+def _weight(name: str) -> str:
+    cases = " ".join(f"when '{k}' then {w}" for k, w in WEIGHTS[name].items())
+    return f"case {name} {cases} else {OTHER_WEIGHT} end" if cases else str(OTHER_WEIGHT)
+
+
+def _mixing() -> str:
+    names = list(WEIGHTS)
+    steps = [
+        r"""d as (
+  select *, 'd' || coalesce(cast(try_cast(regexp_extract(src, '([0-9]+)$', 1) as integer) % 4 as varchar), 'none') as domain,
+    coalesce(src, '') as source
+  from (select doc_id, text, source as src, coalesce(lang, '') as lang,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as tokens from documents))""",
+        f"given0 as (select sum(tokens) as total from d)",
+    ]
+    for depth, name in enumerate(names, 1):
+        path, parent = ", ".join(names[:depth]), ", ".join(names[: depth - 1])
+        over = f"partition by {parent}" if parent else ""
+        steps += [
+            f"""level{depth} as (
+  select {path}, {_weight(name)} as weight, sum(tokens) * {MAX_EPOCHS} as capacity from d group by {path})""",
+            f"""filled{depth} as (
+  select *, sum(capacity) over up as filled, coalesce(sum(weight) over after, 0) as others
+  from level{depth} {"join given" + str(depth - 1) + f" using ({parent})" if parent else ", given0"}
+  window up as ({over} order by capacity / weight::double, {name} rows unbounded preceding),
+    after as ({over} order by capacity / weight::double, {name} rows between 1 following and unbounded following))""",
+            f"""marked{depth} as (
+  select *, capacity * (weight + others) <= (total - filled + capacity) * weight as whole from filled{depth})""",
+            f"""given{depth} as (
+  select {path}, case when whole then capacity else least(capacity, ((total - used) * weight) // open) end as total
+  from (select *, coalesce(sum(capacity) filter (whole) over ({over}), 0) as used,
+          coalesce(sum(weight) filter (not whole) over ({over}), 0) as open from marked{depth}))""",
+        ]
+    leaf = ", ".join(names)
+    steps.append(
+        f"""placed as (
+  select doc_id, text, {leaf}, tokens, budget, case when leaf > 0 then budget // leaf else 0 end as epochs,
+    case when leaf > 0 then budget % leaf else 0 end as rest
+  from (select *, sum(tokens) over (partition by {leaf}) as leaf from d)
+  join (select {leaf}, total as budget from given{len(names)}) using ({leaf}))"""
+    )
+    return f"""
+with {", ".join(steps)}
+select doc_id, {leaf}, tokens, cast(budget as bigint) as budget,
+  cast(case when tokens = 0 then 0 when upto <= rest then epochs + 1 else epochs end as bigint) as copies
+from (select *, sum(tokens) over (partition by {leaf}
+    order by md5('0:' || cast(cast(epochs as bigint) as varchar) || ':' || coalesce(cast(doc_id as varchar), ''))
+    rows unbounded preceding) as upto from placed)
+"""
+
+
+CHECKS: dict[str, str] = {
+    "op2_decontaminate": DECONTAMINATE,
+    "op5_host_rules": _host_rules(),
+    "op6_mixing": _mixing(),
+}
