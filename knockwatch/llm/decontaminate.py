@@ -17,30 +17,41 @@ from knockwatch.llm.store import cut
 
 LENGTH = 10
 GRAM = 5
-#: Bits of the bitmap for each fingerprint, and the most bits it may have (2 MB).
-BITS_EACH, MOST_BITS = 32, 1 << 24
+#: Places in the bitmap for each fingerprint, and the most places it may have (1 MB).
+BITS_EACH, MOST_BITS = 32, 1 << 20
+
+
+def _run(array: Column, at: Column, length: int) -> list[Column]:
+    """Elements ``at`` (from 1) and after, one by one: ``slice`` would copy the whole array each time."""
+    return [F.get(array, at + j) for j in range(-1, length - 1)]
 
 
 def _print_of(grams: Column, at: Column) -> Column:
-    return F.array_min(F.slice(grams, at, LENGTH - GRAM + 1))
+    return F.least(*_run(grams, at, LENGTH - GRAM + 1))
 
 
 def _grams(tokens: Column) -> Column:
-    return F.transform(places(F.size(tokens) - GRAM + 1), lambda i: F.xxhash64(F.slice(tokens, i, GRAM)))
+    return F.transform(places(F.size(tokens) - GRAM + 1), lambda i: F.xxhash64(*_run(tokens, i, GRAM)))
 
 
 def _window(tokens: Column, at: Column, length: Column, fingerprint: Column) -> Column:
+    """A window of at most ``LENGTH`` words; places after its end are null, which joining skips."""
+    inside = [F.when(length > j, w) for j, w in enumerate(_run(tokens, at, LENGTH))]
     return F.struct(
         at.alias("start"),
         length.alias("length"),
         fingerprint.alias("print"),
-        F.array_join(F.slice(tokens, at, length), " ").alias("window"),
+        F.concat_ws(" ", *inside).alias("window"),
     )
 
 
+def _short_print(tokens: Column, at: Column, length: Column) -> Column:
+    return F.xxhash64(*[F.when(length > j, w) for j, w in enumerate(_run(tokens, at, LENGTH - 1))])
+
+
 def _all_windows(tokens: Column) -> Column:
     """Every window of an item: runs of ``LENGTH`` words, or all words of a shorter item."""
-    whole = F.array(_window(tokens, F.lit(1), F.size(tokens), F.xxhash64(tokens)))
+    whole = F.array(_window(tokens, F.lit(1), F.size(tokens), _short_print(tokens, F.lit(1), F.size(tokens))))
     many = let(
         _grams(tokens),
         lambda g: F.transform(
@@ -54,27 +65,23 @@ def _likely_windows(tokens: Column, bitmap: Column, bits: int, short: Column) ->
     """The windows of a document whose fingerprint has its bit in the bitmap."""
 
     def likely(fingerprint: Column) -> Column:
-        place = fingerprint.bitwiseAND(F.lit(bits - 1))
-        return F.getbit(F.get(bitmap, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+        return F.get(bitmap, fingerprint.bitwiseAND(F.lit(bits - 1)).cast("int"))
 
     def found(length: Column, fingerprint) -> Column:
         at = F.filter(places(F.size(tokens) - length + 1), lambda i: likely(fingerprint(i)))
         return F.transform(at, lambda i: _window(tokens, i, length, fingerprint(i)))
 
     full = let(_grams(tokens), lambda g: found(F.lit(LENGTH), lambda i: _print_of(g, i)))
-    less = F.flatten(F.transform(short, lambda n: found(n, lambda i: F.xxhash64(F.slice(tokens, i, n)))))
+    less = F.flatten(F.transform(short, lambda n: found(n, lambda i: _short_print(tokens, i, n))))
     return F.concat(full, less)
 
 
 def _bitmap(prints: DataFrame, bits: int) -> DataFrame:
-    """One row: an array of longs with the bit of every fingerprint set."""
-    place = F.col("print").bitwiseAND(F.lit(bits - 1))
-    set_bits = prints.select(
-        F.shiftright(place, 6).alias("id"), F.expr(f"shiftleft(1L, int(print & 63L))").alias("bits")
-    )
-    every = prints.sparkSession.range(bits // 64).select("id", F.lit(0).cast("long").alias("bits"))
-    filled = every.unionByName(set_bits).groupBy("id").agg(F.bit_or("bits").alias("bits"))
-    return filled.agg(F.array_sort(F.collect_list(F.struct("id", "bits"))).alias("all")).select("all.bits")
+    """One row: an array of booleans, true at the place of every fingerprint."""
+    place = F.col("print").bitwiseAND(F.lit(bits - 1)).alias("id")
+    every = prints.sparkSession.range(bits).select("id", F.lit(False).alias("met"))
+    met = every.unionByName(prints.select(place, F.lit(True).alias("met"))).groupBy("id").agg(F.max("met").alias("met"))
+    return met.agg(F.array_sort(F.collect_list(F.struct("id", "met"))).alias("all")).select(F.col("all.met").alias("bits"))
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
@@ -94,7 +101,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     windows = cut(_item_windows(items.select("item_id", "text")))
     known = windows.select("length", "print", "window").distinct()
-    bits = 1 << 16
+    bits = 1 << 12
     while bits < min(MOST_BITS, BITS_EACH * windows.select("print").distinct().count()):
         bits *= 2
     bitmap = cut(_bitmap(windows.select("print").distinct(), bits)).select("bits").scalar()

@@ -12,6 +12,7 @@ from knockwatch.llm.host_rules import quality_by_host
 from knockwatch.llm.html_text import extract_main_text
 from knockwatch.llm.license_scan import license_notices
 from knockwatch.llm.mixing import mixture
+from knockwatch.llm.paragraph_dedup import passage_dedup
 from knockwatch.llm.pii import personal_data
 from knockwatch.llm.quality_model import quality_scores
 from knockwatch.llm.simhash import fingerprint_hex, simhash_components
@@ -86,6 +87,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("evidence", F.array_join(F.transform("evidence", lambda i: i.cast("string")), ","))
 
 
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup(_documents(spark, sf_dir))
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_documents(spark, sf_dir), width=4, max_distance=4)
     return found.select("doc_id", fingerprint_hex(F.col("print")).alias("fingerprint"), "component_id")
@@ -100,5 +105,6 @@ QUERIES: dict[str, Query] = {
     "op6_mixing": mixing,
     "op7_main_text": main_text,
     "op8_toxicity": toxicity,
+    "op9_passage_dedup": passages,
     "op10_simhash_dedup": simhash_dedup,
 }
