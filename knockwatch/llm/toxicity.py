@@ -24,7 +24,7 @@ FOLDS, HELD_OUT = 3, 1
 #: Bound on the labelled rows that become examples (a hash sample, of about this size at most).
 SAMPLE_ROWS = 8000
 #: Terms are words met in at least and at most these shares of the examples, the commonest first up to a bound.
-MIN_SHARE, MAX_SHARE, MAX_TERMS = 0.02, 0.1, 4096
+MIN_SHARE, MAX_SHARE, MAX_TERMS = 0.015, 0.1, 4096
 NEIGHBOURS = 30
 BLOCK = 64
 READ_AT_ONCE = 8
