@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_points
+from knockwatch.plans.catalog import QUERIES
 from knockwatch.operators.alerts import all_alerts
 from knockwatch.operators.baseline import global_baseline
 from knockwatch.operators.rules import off_hours, static_threshold
@@ -18,9 +18,9 @@ def plan(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark tables")
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_nested_loops_and_no_python(spark, name):
-    text = plan(entry_points.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert operator not in text
 
