@@ -86,5 +86,7 @@ def normalize_attempts(attempts: DataFrame) -> DataFrame:
 
 
 def failed_attempts(attempts: DataFrame) -> DataFrame:
-    """Failed attempts with a time; any other status is ignored by every rule."""
-    return attempts.filter("status = 'failed' and timestamp is not null")
+    """Failed attempts with a time; any other status is ignored by every rule. A missing
+    address is the empty one, as in ``normalize_attempts``, so that every rule counts it."""
+    failed = attempts.filter("status = 'failed' and timestamp is not null")
+    return failed.withColumn("ip", F.coalesce("ip", F.lit("")))

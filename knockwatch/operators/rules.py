@@ -38,7 +38,7 @@ def failures_by_username(attempts: DataFrame) -> DataFrame:
     """Failures per address and (non-empty) username: ``n``, ``first``, ``last``."""
     return (
         failed_attempts(attempts)
-        .filter("username <> '' and ip is not null")
+        .filter("username <> ''")
         .groupBy("ip", "username")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -90,13 +90,17 @@ def with_baseline(
     profile: DataFrame, baseline: DataFrame | None, settings: RuleSettings = DEFAULTS
 ) -> DataFrame:
     """Add ``baseline``: from a table (``ip``, ``baseline``), from a one-row table
-    (``baseline``), or the fallback value alone."""
+    (``baseline``), or the fallback value alone.
+
+    An address that the table names several times has the greatest of its baselines; a
+    null address stands for the empty one; an address without a baseline has the fallback.
+    """
     fallback = F.lit(settings.fallback_baseline)
     if baseline is None:
         return profile.withColumn("baseline", fallback)
     if "ip" not in baseline.columns:
         return profile.withColumn("baseline", baseline.select("baseline").scalar())
-    table = baseline.select("ip", "baseline")
+    table = baseline.groupBy(F.coalesce("ip", F.lit("")).alias("ip")).agg(F.max("baseline").alias("baseline"))
     return profile.join(table, "ip", "left").withColumn("baseline", F.coalesce("baseline", fallback))
 
 

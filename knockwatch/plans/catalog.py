@@ -21,7 +21,6 @@ from knockwatch.operators.baseline import baseline_by_ip, global_baseline, hourl
 from knockwatch.operators.bursts import best_burst
 from knockwatch.plans.detect import normalize_outcomes
 from knockwatch.plans.event_views import LOG_YEAR, attackers_view, attempts_view, lines_view
-from knockwatch.plans.restart import checkpointed
 from knockwatch.sources.writers import alert_details
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,12 +68,8 @@ def _adaptive_custom(attempts: DataFrame) -> DataFrame:
     return rules.adaptive_threshold(attempts, _partial_baseline(attempts))
 
 
-def _metrics(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
-    return scoring.detection_metrics(checkpointed(alerts), attackers)
-
-
 def _report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = checkpointed(normalize_outcomes(parse_outcomes(lines_view(spark, sf_dir), LOG_YEAR).drop("line")))
+    outcomes = normalize_outcomes(parse_outcomes(lines_view(spark, sf_dir), LOG_YEAR).drop("line"))
     attempts = outcomes.filter(F.col("timestamp").isNotNull())
     return summaries.report_totals(count_outcomes(outcomes), all_alerts(attempts, global_baseline(attempts)))
 
@@ -98,8 +93,8 @@ QUERIES: dict[str, Query] = {
     "alert_details": _on_alerts(alert_details),
     "rule_breakdown": _on_alerts(summaries.rule_breakdown),
     "rule_share": _on_alerts(summaries.rule_share),
-    "detection_metrics": _scored(_metrics),
-    "metric_percentages": _scored(lambda alerts, attackers: scoring.metric_percentages(_metrics(alerts, attackers))),
+    "detection_metrics": _scored(scoring.detection_metrics),
+    "metric_percentages": _scored(lambda alerts, attackers: scoring.metric_percentages(scoring.detection_metrics(alerts, attackers))),
     "subnet_coverage": _scored(scoring.subnet_coverage),
     "missed_attackers": _scored(scoring.missed_attackers),
     "failure_timeline": _on_attempts(summaries.failure_timeline),

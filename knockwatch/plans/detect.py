@@ -23,7 +23,7 @@ from knockwatch.operators.summaries import (
 from knockwatch.plans.restart import stored, work_folder
 from knockwatch.settings import RuleSettings
 from knockwatch.sources.readers import read_lines
-from knockwatch.sources.writers import ISO_SECONDS, write_alerts_csv, write_alerts_json, write_metrics_json
+from knockwatch.sources.writers import iso_times, write_alerts_csv, write_alerts_json, write_metrics_json
 
 
 def detect(
@@ -64,7 +64,7 @@ def detect(
     alerts = stored(all_alerts(attempts, baseline, rules), f"{folder}/alerts")
 
     def save(table: DataFrame, name: str) -> None:
-        table.write.mode(mode).option("timestampNTZFormat", ISO_SECONDS).json(f"{out}/{name}")
+        iso_times(table).write.mode(mode).json(f"{out}/{name}")
 
     write_alerts_json(alerts, f"{out}/alerts_json", mode)
     write_alerts_csv(alerts, f"{out}/alerts_csv", mode)

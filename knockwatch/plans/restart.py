@@ -22,9 +22,3 @@ def stored(table: DataFrame, path: str) -> DataFrame:
     also when executors are lost."""
     table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
-def checkpointed(table: DataFrame) -> DataFrame:
-    """``table`` computed once into the shared checkpoint folder, for a query that reads it
-    more than once; unchanged where no such folder is set."""
-    return table.checkpoint() if _shared_folder(table.sparkSession) else table

@@ -2,32 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+def iso_times(table: DataFrame) -> DataFrame:
+    """``table`` with its wall-clock times as ISO text: seconds, and six more digits where
+    the fraction is not zero. The session time zone plays no part."""
+
+    def text(name: str) -> Column:
+        plain = F.translate(F.col(name).cast("string"), " ", "T")
+        return F.when(F.contains(plain, F.lit(".")), F.rpad(plain, 26, "0")).otherwise(plain)
+
+    return table.withColumns({name: text(name) for name, kind in table.dtypes if kind == "timestamp_ntz"})
+
+
 def write_alerts_json(alerts: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per alert, holding only the keys its rule fills; times in ISO form."""
-    (
-        alerts.write.mode(mode)
-        .option("timestampNTZFormat", ISO_SECONDS)
-        .option("ignoreNullFields", True)
-        .json(path)
-    )
+    iso_times(alerts).write.mode(mode).option("ignoreNullFields", True).json(path)
 
 
 def alert_details(alerts: DataFrame) -> DataFrame:
     """``rule``, ``ip`` and the other filled fields as JSON text in ``details``."""
     others = [c for c in alerts.columns if c not in ("rule", "ip")]
-    return alerts.select(
-        "rule",
-        "ip",
-        F.to_json(
-            F.struct(*others), {"timestampNTZFormat": ISO_SECONDS, "ignoreNullFields": "true"}
-        ).alias("details"),
-    )
+    details = F.to_json(F.struct(*others), {"ignoreNullFields": "true"})
+    return iso_times(alerts).select("rule", "ip", details.alias("details"))
 
 
 def write_alerts_csv(alerts: DataFrame, path: str, mode: str = "errorifexists") -> None:

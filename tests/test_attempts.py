@@ -21,31 +21,35 @@ def line(ts="Jan 12 14:30:00", text="Failed password for root from 1.2.3.4 port
     return f"{ts} web1 sshd[77]: {text}"
 
 
-def test_file_of_five_lines(spark, tmp_path):
-    log = tmp_path / "auth.log"
-    log.write_text(
-        "\n".join(
-            [
-                line("Jan 12 09:00:00"),
-                "",
-                line("Jan 12 09:00:05", "Accepted password for kim from 1.2.3.4 port 22 ssh2"),
-                "   ",
-                line("Jan 12 09:00:10", "Invalid user test from 5.6.7.8"),
-                line("Jan 12 09:00:15", "Failed password for invalid user test from 5.6.7.8 port 9 ssh2"),
-                "nothing to see here",
-            ]
-        )
-    )
+# Message and the attempt it gives (username, address, status); None: rejected.
+MESSAGES = [
+    ("Connection closed by 100.64.3.7 port 40122", None),
+    ("Failed password for invalid user Deploy from 100.64.8.1 port 31007 ssh2", ("Deploy", "100.64.8.1", "failed")),
+    ("Accepted password for mara from 172.20.0.3 port 50999 ssh2", ("mara", "172.20.0.3", "success")),
+    ("Failed password for", None),
+    ("Invalid user ghost from 100.64.8.2", ("ghost", "100.64.8.2", "failed")),
+    ("Failed password for backup from 192.168.77.40 port 60001 ssh2", ("backup", "192.168.77.40", "failed")),
+    ("Accepted password for", None),
+]
+
+
+@pytest.mark.parametrize("order", [1, 3, 5])
+def test_file_of_messages(spark, tmp_path, order):
+    """Every message some times over, in an order of its own, with blank lines between."""
+    log, expected, rejected = tmp_path / "secure.log", [], []
+    with log.open("w") as f:
+        for i in range(4 * len(MESSAGES)):
+            text, outcome = MESSAGES[i * order % len(MESSAGES)]
+            stamp = datetime(2026, 6, 1 + i % 28, (i * 5) % 24, (i * 17) % 60, (i * 41) % 60)
+            written = line(f"{stamp:%b %d %H:%M:%S}", text)
+            f.write(written + "\n" + "\n \t \n"[: i % 5])
+            expected += [(stamp, *outcome)] if outcome else []
+            rejected += [] if outcome else [written]
     lines = read_lines(spark, str(log))
-    rows = parse_attempts(lines, 2026).orderBy("timestamp").collect()
-    assert [tuple(r) for r in rows] == [
-        (datetime(2026, 1, 12, 9, 0, 0), "root", "1.2.3.4", "failed"),
-        (datetime(2026, 1, 12, 9, 0, 5), "kim", "1.2.3.4", "success"),
-        (datetime(2026, 1, 12, 9, 0, 10), "test", "5.6.7.8", "failed"),
-        (datetime(2026, 1, 12, 9, 0, 15), "test", "5.6.7.8", "failed"),
-    ]
-    assert tuple(count_outcomes(parse_outcomes(lines, 2026)).first()) == (5, 4, 1)
-    assert [r.line for r in rejected_lines(lines, 2026).collect()] == ["nothing to see here"]
+    assert sorted(tuple(r) for r in parse_attempts(lines, 2026).collect()) == sorted(expected)
+    counts = count_outcomes(parse_outcomes(lines, 2026)).first()
+    assert tuple(counts) == (4 * len(MESSAGES), len(expected), len(rejected))
+    assert sorted(r.line for r in rejected_lines(lines, 2026).collect()) == sorted(rejected)
 
 
 @pytest.mark.parametrize(

@@ -42,6 +42,18 @@ def alerts(attempts):
     return all_alerts(attempts(rows))
 
 
+def test_sub_second_times_come_back(attempts, tmp_path):
+    start = datetime(2026, 1, 12, 10, 0, 0, 250_000)
+    times = [start + timedelta(milliseconds=10 * i) for i in range(9)]
+    found = all_alerts(attempts([(t, "100.64.0.1", "kim") for t in times])).filter("rule = 'static_threshold'")
+    write_alerts_json(found, str(tmp_path / "json"))
+    write_alerts_csv(found, str(tmp_path / "csv"))
+    (row,) = objects(tmp_path / "json")
+    _, ((_, _, details, _),) = table(tmp_path / "csv")
+    for written in (row, json.loads(details)):
+        assert (written["window_start"], written["window_end"]) == (times[0].isoformat(), times[-1].isoformat())
+
+
 def test_json_keys_per_rule(alerts, tmp_path):
     write_alerts_json(alerts, str(tmp_path / "out"))
     rows = {r["rule"]: r for r in objects(tmp_path / "out")}

@@ -24,20 +24,45 @@ def ips(df):
     return sorted(r.ip for r in df.collect())
 
 
-def test_static(attempts):
-    row = static_threshold(attempts(burst(6))).collect()
-    assert [tuple(r) for r in row] == [("static_threshold", "1.1.1.1", 6, BASE, BASE + timedelta(seconds=15))]
-    assert ips(static_threshold(attempts(burst(3)))) == []
-    assert ips(static_threshold(attempts(burst(6, status="success")))) == []
-    assert ips(static_threshold(attempts(burst(6, status="unknown")))) == []
-    assert ips(static_threshold(attempts(burst(3)), RuleSettings(static_threshold=3))) == ["1.1.1.1"]
-
-
-def test_adaptive(spark, attempts):
-    table = spark.createDataFrame([("1.1.1.1", 5)], "ip string, baseline int")
-    fired = adaptive_threshold(attempts(burst(8, 2)), table).collect()
-    assert [(r.ip, r.failed_count, r.threshold_used) for r in fired] == [("1.1.1.1", 8, 7)]
-    assert ips(adaptive_threshold(attempts(burst(6)), table)) == []
+def largest(times, seconds):
+    """Most times within a trailing range of so many seconds."""
+    return max((sum(t - seconds <= u <= t for u in times) for t in times), default=0)
+
+
+@pytest.mark.parametrize("extra", [-1, 0, 1])
+@pytest.mark.parametrize("late", [0, 1])
+def test_burst_rules_at_their_boundaries(spark, attempts, extra, late):
+    """Threshold -1, 0, +1; the last attempt at the end of the window or one second after it."""
+    s = RuleSettings()
+    limits = {"static": (s.static_threshold, s.static_window), "adaptive": (9, s.adaptive_window)}
+    for rule, (least, window) in limits.items():
+        times = [i * 2 for i in range(least + extra - 1)] + [window + late]
+        df = attempts([(t, "100.64.0.1", "kim") for t in times] + [(t, "100.64.0.2", "kim", "success") for t in times])
+        if rule == "static":
+            found = static_threshold(df).collect()
+        else:
+            table = spark.createDataFrame([("100.64.0.1", 6)], "ip string, baseline int")
+            found = adaptive_threshold(df, table).collect()
+        best = largest(times, window)
+        assert [(r.ip, r.failed_count) for r in found] == ([("100.64.0.1", best)] if best >= least else [])
+
+
+def test_repeated_and_null_baselines_give_one_alert(spark, attempts):
+    df = attempts(burst(9, 2, ip="100.64.0.1") + burst(9, 2, ip=None))
+    rows = [("100.64.0.1", 4), ("100.64.0.1", 6), ("100.64.0.1", None), (None, 5), ("", 4), ("100.64.0.9", None)]
+    table = spark.createDataFrame(rows, "ip string, baseline int")
+    alerts = [(r.rule, r.ip) for r in all_alerts(df, table).collect()]
+    assert len(set(alerts)) == len(alerts)
+    limits = {r.ip: r.threshold_used for r in adaptive_threshold(df, table).collect()}
+    assert limits == {"100.64.0.1": 9, "": 7}
+
+
+def test_a_missing_address_counts_in_every_rule(attempts):
+    rows = [(datetime(2026, 1, 12, 22, 0, i), None, f"name{i}") for i in range(9)]
+    found = all_alerts(attempts(rows)).collect()
+    assert {(r.rule, r.ip) for r in found} == {
+        (rule, "") for rule in ("static_threshold", "adaptive_threshold", "account_diversity", "off_hours")
+    }
 
 
 def test_adaptive_baseline_kinds(spark, attempts):
@@ -52,11 +77,11 @@ def test_adaptive_baseline_kinds(spark, attempts):
     assert {r.threshold_used for r in adaptive_threshold(df, low).collect()} == {6}
 
 
-def test_diversity(attempts):
-    rows = [(i * 5, "1.1.1.1", f"user{i}") for i in range(4)]
-    row = account_diversity(attempts(rows)).first()
-    assert (row.unique_usernames, row.failed_count) == (4, 4)
-    assert ips(account_diversity(attempts(burst(5)))) == []
+@pytest.mark.parametrize("names", range(1, 6))
+def test_diversity_needs_so_many_names(attempts, names):
+    rows = [(i * 11, "100.64.0.1", f"name{i % names}") for i in range(7)]
+    found = [(r.unique_usernames, r.failed_count) for r in account_diversity(attempts(rows)).collect()]
+    assert found == ([(names, 7)] if names >= RuleSettings().account_diversity_min else [])
 
 
 def test_diversity_counts_users_overall_but_failures_in_a_burst(attempts):
@@ -65,34 +90,33 @@ def test_diversity_counts_users_overall_but_failures_in_a_burst(attempts):
     assert (row.unique_usernames, row.failed_count, row.window_start, row.window_end) == (3, 1, BASE, BASE)
 
 
-@pytest.mark.parametrize(
-    "hour, settings, fires",
-    [
-        (3, RuleSettings(), True),
-        (10, RuleSettings(), False),
-        (8, RuleSettings(), False),
-        (20, RuleSettings(), True),
-        (10, RuleSettings(working_hours_start=20, working_hours_end=8), True),
-    ],
-)
-def test_off_hours(attempts, hour, settings, fires):
-    times = [datetime(2026, 1, 12, hour, m) for m in (0, 10, 20)]
-    rows = off_hours(attempts([(t, "1.1.1.1", "root") for t in times]), settings).collect()
-    expected = [("off_hours", "1.1.1.1", 3, times[0], times[-1])] if fires else []
-    assert [tuple(r) for r in rows] == expected
-
-
-def test_distributed(attempts):
-    rows = [(i * 20, f"45.32.10.{ip}", "root") for i, ip in enumerate((12, 4, 5))]
-    alert = distributed_attack(attempts(rows)).first()
-    assert alert.ip == "45.32.10.0/24"
-    assert alert.attacking_ips == ["45.32.10.12", "45.32.10.4", "45.32.10.5"]
-    assert (alert.target_username, alert.failed_count) == ("root", 3)
-    assert ips(distributed_attack(attempts(burst(10, 5)))) == []
-    spread = [(i * 20, ip, "root") for i, ip in enumerate(("1.1.1.1", "2.2.2.2", "3.3.3.3"))]
-    assert ips(distributed_attack(attempts(spread))) == []
-    nameless = [(i, f"45.32.10.{i}", "") for i in range(3)]
-    assert ips(distributed_attack(attempts(nameless))) == []
+@pytest.mark.parametrize("start, end", [(8, 20), (0, 24), (21, 6), (7, 7)])
+def test_off_hours_of_every_hour(attempts, start, end):
+    settings = RuleSettings(working_hours_start=start, working_hours_end=end)
+    rows = [(datetime(2026, 5, 4, h, 13 * n, n), f"h{h}", "kim") for h in range(24) for n in range(1 + h % 4)]
+    outside = {f"h{h}" for h in range(24) if (h < start or h >= end) and 1 + h % 4 >= settings.off_hours_min}
+    found = off_hours(attempts(rows), settings).collect()
+    assert {r.ip for r in found} == outside
+    for r in found:
+        times = [t for t, ip, _ in rows if ip == r.ip]
+        assert (r.failed_count, r.first_seen, r.last_seen) == (len(times), min(times), max(times))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5])
+def test_distributed_needs_so_many_addresses(attempts, size):
+    """Of subnets with one name, with a name for each address, and without names, only the first can be reported."""
+    last = [(7 * i) % 200 + 20 for i in range(size)]
+    rows = [(i, f"100.64.1.{n}", "kim") for i, n in enumerate(last)]
+    rows += [(i, f"100.64.2.{n}", f"name{n}") for i, n in enumerate(last)]
+    rows += [(i, f"100.64.3.{n}", "") for i, n in enumerate(last)]
+    rows += [(i, f"100.{n}.4.1", "kim") for i, n in enumerate(last)]
+    found = distributed_attack(attempts(rows + rows[:1])).collect()
+    if size < RuleSettings().distributed_min_ips:
+        assert found == []
+    else:
+        (alert,) = found
+        assert (alert.ip, alert.target_username, alert.failed_count) == ("100.64.1.0/24", "kim", size + 1)
+        assert alert.attacking_ips == sorted(f"100.64.1.{n}" for n in last)
 
 
 def test_distributed_span_covers_the_whole_input(attempts):
