@@ -1,10 +1,11 @@
 """Readers and writers."""
 
-from knockwatch.sources.readers import read_attackers, read_lines
+from knockwatch.sources.readers import read_attackers, read_attackers_file, read_lines
 from knockwatch.sources.writers import alert_details, write_alerts_csv, write_alerts_json, write_metrics_json
 
 __all__ = [
     "read_attackers",
+    "read_attackers_file",
     "read_lines",
     "alert_details",
     "write_alerts_csv",

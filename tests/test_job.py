@@ -7,9 +7,11 @@ import pytest
 
 from knockwatch.operators.alerts import all_alerts
 from knockwatch.plans.detect import detect
+from knockwatch.plans.job import arguments, main
 from knockwatch.sources import (
     alert_details,
     read_attackers,
+    read_attackers_file,
     write_alerts_csv,
     write_alerts_json,
     write_metrics_json,
@@ -185,3 +187,25 @@ def test_unknown_setting_is_an_error(spark, tmp_path):
         detect(spark, "x", str(tmp_path), statik_threshold=1)
 
 
+
+
+def test_start_by_arguments(spark, tmp_path):
+    given = arguments(["a.log", "b.log", "--out", "o", "--year", "2025", "--summaries"])
+    assert (given.paths, given.out, given.year, given.summaries, given.attackers) == (["a.log", "b.log"], "o", 2025, True, None)
+    with pytest.raises(SystemExit):
+        arguments(["a.log"])
+    text = "".join(f"Mar  3 04:00:{s:02d} gate sshd[5]: Invalid user n{s} from 100.64.0.1\n" for s in range(7))
+    (tmp_path / "auth.log").write_text(text)
+    (tmp_path / "known.txt").write_text(" 100.64.0.1 \n\n100.64.0.1\n")
+    out = tmp_path / "out"
+    main([str(tmp_path / "auth.log"), "--out", str(out), "--attackers", str(tmp_path / "known.txt"), "--year", "2026"])
+    assert {r["ip"] for r in objects(out / "alerts_json")} == {"100.64.0.1"}
+    assert [(m["true_positives"], m["false_negatives"]) for m in objects(out / "metrics")] == [(1, 0)]
+
+
+@pytest.mark.parametrize("kind", ["csv", "json", "parquet"])
+def test_attackers_from_a_file(spark, tmp_path, kind):
+    path = str(tmp_path / f"known.{kind}")
+    rows = spark.createDataFrame([("100.64.0.1", 1), ("100.64.0.1", 2), ("100.64.0.2", 3)], "ip string, n int")
+    rows.write.option("header", True).format(kind).save(path)
+    assert sorted(r.ip for r in read_attackers_file(spark, path).collect()) == ["100.64.0.1", "100.64.0.2"]
