@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from knockwatch.llm.collocations import collocations
+from knockwatch.llm.conversation_repair import damaged, repair_reports
 from knockwatch.llm.decontaminate import contamination
 from knockwatch.llm.host_rules import quality_by_host
 from knockwatch.llm.html_text import extract_main_text
@@ -17,6 +19,7 @@ from knockwatch.llm.pii import personal_data
 from knockwatch.llm.quality_model import quality_scores
 from knockwatch.llm.simhash import fingerprint_hex, simhash_components
 from knockwatch.llm.toxicity import toxicity_scores
+from knockwatch.llm.vector_search import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +31,8 @@ WEIGHTS = {
     "source": {},
 }
 OTHER_WEIGHT = 1
+#: Every vector whose id this divides is a query.
+QUERY_EVERY = 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +101,19 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint_hex(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return repair_reports(damaged(turns), turns)
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir))
+
+
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": pii,
     "op2_decontaminate": decontaminate,
@@ -107,4 +125,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": toxicity,
     "op9_passage_dedup": passages,
     "op10_simhash_dedup": simhash_dedup,
+    "op11_conversation_repair": conversations,
+    "op12_collocations": phrases,
+    "op13_vector_search": neighbours,
 }
