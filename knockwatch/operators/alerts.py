@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knockwatch.operators.failures import Source
 from knockwatch.operators.rules import address_alerts, distributed_attack
 from knockwatch.settings import RuleSettings
 
@@ -21,15 +22,20 @@ def keep_first(alerts: DataFrame) -> DataFrame:
 
 
 def all_alerts(
-    attempts: DataFrame, baseline: DataFrame | None = None, settings: RuleSettings = RuleSettings()
+    source: Source,
+    baseline: DataFrame | None = None,
+    settings: RuleSettings = RuleSettings(),
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """The alerts of every rule, one per (ip, rule), in the common schema.
 
+    Give ``Failures`` that keep their tables: then each of them is computed once.
+
     Rules 1 to 4 give one row per address by themselves; only subnet alerts can
     repeat (one per attacked username), so only they are de-duplicated.
     """
-    wide = address_alerts(attempts, baseline, settings)
-    subnets = distributed_attack(attempts, settings)
+    wide = address_alerts(source, baseline, settings, profile)
+    subnets = distributed_attack(source, settings)
     return wide.unionByName(keep_first(subnets), allowMissingColumns=True)
 
 

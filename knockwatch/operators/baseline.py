@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knockwatch.functions.times import clock_hour
-from knockwatch.operators.attempts import failed_attempts
+from knockwatch.operators.failures import Failures, Source, hourly_rows
 from knockwatch.settings import RuleSettings
 
 
-def hourly_failures_by_ip(attempts: DataFrame) -> DataFrame:
+def hourly_failures_by_ip(source: Source) -> DataFrame:
     """Failures per address and clock hour."""
-    hourly = failed_attempts(attempts).groupBy("ip", clock_hour("timestamp").alias("hour"))
-    return hourly.agg(F.count(F.lit(1)).alias("failures"))
+    if isinstance(source, Failures):
+        return source.hours.select("ip", "hour", "failures")
+    return hourly_rows(source).groupBy("ip", "hour").agg(F.sum("failures").alias("failures"))
 
 
-def global_baseline(attempts: DataFrame, settings: RuleSettings = RuleSettings()) -> DataFrame:
+def global_baseline(source: Source, settings: RuleSettings = RuleSettings()) -> DataFrame:
     """One row: ``quiet_buckets``, their ``median`` and the ``baseline``.
 
     A bucket (address, hour) is quiet with at most ``quiet_limit`` failures, so the
     exact median keeps at most that many distinct values in its buffer.
     """
-    quiet = hourly_failures_by_ip(attempts).filter(F.col("failures") <= settings.quiet_limit)
+    quiet = hourly_failures_by_ip(source).filter(F.col("failures") <= settings.quiet_limit)
     stats = quiet.agg(F.count(F.lit(1)).alias("quiet_buckets"), F.median("failures").alias("median"))
     level = F.greatest(
         F.lit(settings.baseline_floor), F.col("median").cast("int") + settings.baseline_headroom
@@ -33,8 +33,8 @@ def global_baseline(attempts: DataFrame, settings: RuleSettings = RuleSettings()
     )
 
 
-def baseline_by_ip(attempts: DataFrame, settings: RuleSettings = RuleSettings()) -> DataFrame:
+def baseline_by_ip(source: Source, settings: RuleSettings = RuleSettings()) -> DataFrame:
     """Every address with a failure and its baseline: the same for all, because a new
     attacker has no history of its own that could be trusted."""
-    level = global_baseline(attempts, settings).select("baseline").scalar()
-    return failed_attempts(attempts).select("ip").distinct().withColumn("baseline", level)
+    level = global_baseline(source, settings).select("baseline").scalar()
+    return hourly_rows(source).select("ip").distinct().withColumn("baseline", level)

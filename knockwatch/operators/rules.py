@@ -4,6 +4,8 @@ Rules 1 to 4 are keyed by address and read one row per address, the profile:
 best bursts, off-hours totals and, for rule 3, the number of usernames tried.
 A single rule uses the part of the profile it needs (the rest is pruned from the
 plan); ``all_alerts`` computes the profile once for all of them.
+
+Every rule takes attempts, or the ``Failures`` counted from them before.
 """
 
 from __future__ import annotations
@@ -14,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.functions.addresses import subnet_key
-from knockwatch.operators.attempts import failed_attempts
-from knockwatch.operators.bursts import Burst, best, trailing_ranges
+from knockwatch.operators.bursts import Burst, best, slice_micros, trailing_ranges
+from knockwatch.operators.failures import Failures, Source, hourly_rows
 from knockwatch.schemas import ALERTS
 from knockwatch.settings import RuleSettings
 
@@ -25,63 +27,36 @@ DEFAULTS = RuleSettings()
 # ---------------------------------------------------------------- inputs
 
 
-def failures_by_second(attempts: DataFrame) -> DataFrame:
-    """Failures per address and time: ``n``, and ``named`` with a username."""
-    return (
-        failed_attempts(attempts)
-        .groupBy("ip", "timestamp")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("username") != "").alias("named"))
-    )
-
-
-def failures_by_username(attempts: DataFrame) -> DataFrame:
-    """Failures per address and (non-empty) username: ``n``, ``first``, ``last``."""
-    return (
-        failed_attempts(attempts)
-        .filter("username <> ''")
-        .groupBy("ip", "username")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("timestamp").alias("first"),
-            F.max("timestamp").alias("last"),
-        )
-    )
-
-
-def _off_hours_totals(settings: RuleSettings, n: str) -> list[Column]:
-    """Aggregates over rows with a ``timestamp`` that stand for ``n`` failures each."""
-    off = f"hour(timestamp) < {settings.working_hours_start} or hour(timestamp) >= {settings.working_hours_end}"
+def _off_hours_totals(settings: RuleSettings, time: str, n: str, first: str, last: str) -> list[Column]:
+    """Aggregates over rows that stand for ``n`` failures from ``first`` to ``last``, all in the clock hour of ``time``."""
+    off = f"hour({time}) < {settings.working_hours_start} or hour({time}) >= {settings.working_hours_end}"
     return [
         F.expr(f"sum(if({off}, {n}, 0)) as off_count"),
-        F.expr(f"min(if({off}, timestamp, null)) as off_first"),
-        F.expr(f"max(if({off}, timestamp, null)) as off_last"),
+        F.expr(f"min(if({off}, {first}, null)) as off_first"),
+        F.expr(f"max(if({off}, {last}, null)) as off_last"),
     ]
 
 
-def ip_profile(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
+def ip_profile(source: Source, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """One row per failing address: its best burst per rule and its off-hours totals."""
     bursts = [
         Burst("static", "n", settings.static_window),
         Burst("adaptive", "n", settings.adaptive_window),
         Burst("diversity", "named", settings.account_diversity_window),
     ]
-    ranges = trailing_ranges(failures_by_second(attempts), ["ip"], bursts)
-    return ranges.groupBy("ip").agg(
-        *[best(b.name) for b in bursts], *_off_hours_totals(settings, "n")
+    failures = Failures.of(source)
+    size = slice_micros(failures.hours, max(b.width for b in bursts))
+    return trailing_ranges(failures.seconds, ["ip"], bursts, size).groupBy("ip").agg(
+        *[best(b.name) for b in bursts], *_off_hours_totals(settings, "timestamp", "n", "timestamp", "timestamp")
     )
 
 
-def usernames_tried(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
-    """Addresses that tried at least ``account_diversity_min`` usernames over the whole input.
-
-    The count mentions every column of the table below it (the test is always true), so
-    that ``all_alerts`` needs the same columns here and for subnet attacks, and Spark
-    reads the attempts and shuffles them once for both.
-    """
+def usernames_tried(source: Source, settings: RuleSettings = DEFAULTS) -> DataFrame:
+    """Addresses that tried at least ``account_diversity_min`` usernames over the whole input."""
     return (
-        failures_by_username(attempts)
-        .groupBy("ip")
-        .agg(F.count_if(F.expr("n > 0 and first <= last")).alias("unique_usernames"))
+        Failures.of(source)
+        .usernames.groupBy("ip")
+        .agg(F.count(F.lit(1)).alias("unique_usernames"))
         .filter(F.col("unique_usernames") >= settings.account_diversity_min)
     )
 
@@ -168,60 +143,64 @@ def off_hours_rule(s: RuleSettings) -> ProfileRule:
     )
 
 
-def static_threshold(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
+def static_threshold(source: Source, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Addresses with at least ``static_threshold`` failures within ``static_window`` seconds."""
-    return static_rule(settings).alerts(ip_profile(attempts, settings))
+    return static_rule(settings).alerts(ip_profile(source, settings))
 
 
 def adaptive_threshold(
-    attempts: DataFrame, baseline: DataFrame | None = None, settings: RuleSettings = DEFAULTS
+    source: Source, baseline: DataFrame | None = None, settings: RuleSettings = DEFAULTS
 ) -> DataFrame:
     """Addresses whose best ``adaptive_window`` burst reaches half their baseline times the
     multiplier (and the floor)."""
-    profile = with_baseline(ip_profile(attempts, settings), baseline, settings)
+    profile = with_baseline(ip_profile(source, settings), baseline, settings)
     return adaptive_rule(settings).alerts(profile)
 
 
-def account_diversity(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
+def account_diversity(source: Source, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Addresses that try many accounts. Usernames are counted over the whole input,
     ``failed_count`` is the best burst, so it can be the smaller number."""
-    profile = ip_profile(attempts, settings).join(usernames_tried(attempts, settings), "ip")
+    profile = ip_profile(source, settings).join(usernames_tried(source, settings), "ip")
     return diversity_rule(settings).alerts(profile)
 
 
-def off_hours(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
+def off_hours(source: Source, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Addresses with failures outside working hours. With start > end every hour is outside."""
-    totals = failed_attempts(attempts).groupBy("ip").agg(*_off_hours_totals(settings, "1"))
+    totals = hourly_rows(source).groupBy("ip").agg(*_off_hours_totals(settings, "hour", "failures", "first", "last"))
     return off_hours_rule(settings).alerts(totals)
 
 
-def distributed_attack(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -> DataFrame:
+def distributed_attack(source: Source, settings: RuleSettings = DEFAULTS) -> DataFrame:
     """Several addresses of one /24 subnet failing on one username, one row per (subnet, username).
 
     The failures of the whole input must lie within ``distributed_window`` seconds: this
     is no sliding range, and one stray failure much later hides the attack.
 
     Failures shrink to one row per (address, username) before they meet on
-    (subnet, username); a subnet key leaves only the last part of the address open, so
-    the address list of a group stays small however many failures it has.
+    (subnet, username), and groups are judged by numbers alone. Only the addresses of groups
+    that fire are listed; a subnet key leaves the last part of the address open, so a list
+    is short however many failures it stands for.
     """
-    groups = (
-        failures_by_username(attempts)
-        .groupBy(subnet_key(F.col("ip")).alias("subnet"), "username")
+    tried = Failures.of(source).usernames.withColumn("subnet", subnet_key(F.col("ip")))
+    fired = (
+        tried.groupBy("subnet", "username")
         .agg(
-            F.collect_list("ip").alias("ips"),
+            F.count(F.lit(1)).alias("ips"),
             F.sum("n").alias("failed_count"),
             F.min("first").alias("window_start"),
             F.max("last").alias("window_end"),
         )
+        .filter(
+            f"ips >= {settings.distributed_min_ips}"
+            f" and window_end - window_start <= interval '{settings.distributed_window}' second"
+        )
     )
-    return groups.filter(
-        f"size(ips) >= {settings.distributed_min_ips}"
-        f" and window_end - window_start <= interval '{settings.distributed_window}' second"
-    ).selectExpr(
+    listed = tried.select("subnet", "username", "ip").join(fired, ["subnet", "username"])
+    found = ["subnet", "username", "failed_count", "window_start", "window_end"]
+    return listed.groupBy(*found).agg(F.array_sort(F.collect_list("ip")).alias("attacking_ips")).selectExpr(
         "'distributed_attack' as rule",
         "concat(subnet, '.0/24') as ip",
-        "array_sort(ips) as attacking_ips",
+        "attacking_ips",
         "username as target_username",
         "failed_count",
         "window_start",
@@ -230,11 +209,11 @@ def distributed_attack(attempts: DataFrame, settings: RuleSettings = DEFAULTS) -
 
 
 def address_alerts(
-    attempts: DataFrame, baseline: DataFrame | None = None, settings: RuleSettings = DEFAULTS
+    source: Source, baseline: DataFrame | None = None, settings: RuleSettings = DEFAULTS, profile: DataFrame | None = None
 ) -> DataFrame:
-    """The alerts of rules 1 to 4 in the common schema, from one pass over the profile."""
-    profile = with_baseline(ip_profile(attempts, settings), baseline, settings)
-    profile = profile.join(usernames_tried(attempts, settings), "ip", "left")
+    """The alerts of rules 1 to 4 in the common schema, from one pass over the profile (``profile``, where there is one)."""
+    profile = with_baseline(ip_profile(source, settings) if profile is None else profile, baseline, settings)
+    profile = profile.join(usernames_tried(source, settings), "ip", "left")
     rules = [static_rule(settings), adaptive_rule(settings), diversity_rule(settings), off_hours_rule(settings)]
     fired = f"array_compact(array({', '.join(r.wide() for r in rules)}))"
     return profile.selectExpr(f"explode({fired}) as alert").select("alert.*")

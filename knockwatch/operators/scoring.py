@@ -1,7 +1,10 @@
 """Alerts scored against known attackers.
 
-All comparisons are equi-joins on short keys. No side is forced to broadcast:
-Spark broadcasts what it has measured to be small and shuffles the rest.
+All comparisons are equi-joins on short keys. No side is forced to broadcast: Spark
+broadcasts what it has measured to be small and shuffles the rest. Attackers are first
+reduced to their distinct keys, counted on the map side, and those to the ones that were
+reported; only attackers with such a key are looked at again. A first octet shared by
+millions of attackers is one key, and moves none of them unless it was reported.
 """
 
 from __future__ import annotations
@@ -12,13 +15,13 @@ from pyspark.sql import functions as F
 from knockwatch.functions.addresses import covered_prefix, dotted_prefixes, is_subnet
 from knockwatch.sources.readers import read_attackers
 
+KEY = ["kind", "value"]
 
-def _reported(alerts: DataFrame) -> DataFrame:
-    """What the alerts name, once each: ``kind`` (address or prefix), ``value`` and the
-    number of ``reports``.
 
-    A join adds the null test to one of its sides; stated here, both uses of this table
-    in ``detection_metrics`` have the same plan and share one computation.
+def reported_keys(alerts: DataFrame) -> DataFrame:
+    """What the alerts name, once each: ``kind`` (address or prefix), ``value`` and the number of ``reports``.
+
+    All scores start from this table; store it where several are wanted.
     """
     ip = F.col("ip")
     subnet = is_subnet(ip)
@@ -28,17 +31,22 @@ def _reported(alerts: DataFrame) -> DataFrame:
             F.when(subnet, covered_prefix(ip)).otherwise(ip).alias("value"),
         )
         .filter("value is not null")
-        .groupBy("kind", "value")
+        .groupBy(*KEY)
         .agg(F.count(F.lit(1)).alias("reports"))
     )
 
 
-def _known(attackers: DataFrame) -> DataFrame:
+def _named_by(listed: DataFrame) -> DataFrame:
     """Each attacker ``ip`` with all it can be reported by: itself and its dotted prefixes."""
-    ip = F.col("ip")
-    listed = read_attackers(attackers)
-    prefixes = listed.select("ip", F.lit("prefix").alias("kind"), F.explode(dotted_prefixes(ip)).alias("value"))
-    return listed.select("ip", F.lit("address").alias("kind"), ip.alias("value")).unionByName(prefixes)
+    own = F.struct(F.lit("address").alias("kind"), F.col("ip").alias("value"))
+    prefixes = F.transform(dotted_prefixes(F.col("ip")), lambda p: F.struct(F.lit("prefix").alias("kind"), p.alias("value")))
+    return listed.select("ip", F.inline(F.concat(F.array(own), prefixes)))
+
+
+def _hits(reported: DataFrame, named: DataFrame) -> DataFrame:
+    """The reported keys that name an attacker, with the number of ``attackers``."""
+    keys = named.groupBy(*KEY).agg(F.count(F.lit(1)).alias("attackers"))
+    return reported.join(keys, KEY)
 
 
 def detected_addresses(alerts: DataFrame) -> DataFrame:
@@ -55,7 +63,7 @@ def subnet_coverage(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     """
     ip = F.col("ip")
     inside = (
-        _known(attackers)
+        _named_by(read_attackers(attackers))
         .filter("kind = 'prefix'")
         .groupBy(F.col("value").alias("prefix"))
         .agg(F.count(F.lit(1)).alias("attackers"))
@@ -70,23 +78,26 @@ def subnet_coverage(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     )
 
 
+def _found(reported: DataFrame, listed: DataFrame) -> DataFrame:
+    """The attackers that were reported, with ``direct`` and ``in_subnet``."""
+    named = _named_by(listed)
+    hits = _hits(reported, named).select(*KEY)
+    return named.join(hits, KEY).groupBy("ip").agg(
+        F.expr("count_if(kind = 'address') > 0 as direct"), F.expr("count_if(kind = 'prefix') > 0 as in_subnet")
+    )
+
+
 def attacker_status(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     """Each attacker with ``direct`` (its address was reported) and ``in_subnet``
     (a reported subnet contains it)."""
-    return _status(_reported(alerts), _known(attackers))
+    return status_of(reported_keys(alerts), attackers)
 
 
-def _status(reported: DataFrame, known: DataFrame) -> DataFrame:
-    # Reported keys are distinct: the join keeps the rows of the attacker side, and a
-    # prefix shared by very many attackers can be split there.
-    return (
-        known.join(reported, ["kind", "value"], "left")
-        .groupBy("ip")
-        .agg(
-            F.expr("count_if(reports > 0 and kind = 'address') > 0 as direct"),
-            F.expr("count_if(reports > 0 and kind = 'prefix') > 0 as in_subnet"),
-        )
-    )
+def status_of(reported: DataFrame, attackers: DataFrame) -> DataFrame:
+    """``attacker_status`` by the ``reported_keys`` of the alerts."""
+    listed = read_attackers(attackers)
+    flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("direct", "in_subnet")]
+    return listed.join(_found(reported, listed), "ip", "left").select("ip", *flags)
 
 
 def missed_attackers(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
@@ -101,26 +112,31 @@ def detection_metrics(alerts: DataFrame, attackers: DataFrame) -> DataFrame:
     any attacker, so it can exceed the number of attackers. Without a count of true
     negatives the false-positive rate is 1 as soon as there is a false positive.
     Ratios are rounded half-even to four places; an empty denominator gives 0.
-
-    Both halves start from the same table of reported keys, so that Spark computes the
-    alerts once and reuses that shuffle.
     """
-    reported, known = _reported(alerts), _known(attackers)
-    per_key = known.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("attackers"))
-    found = reported.join(per_key, ["kind", "value"], "left").selectExpr(
-        "if(attackers > 0, true, false) as hit", "if(kind = 'address', 1L, reports) as weight"
-    )
-    totals = found.selectExpr("if(hit, weight, 0L) as tp", "if(hit, 0L, weight) as fp", "0L as fn")
-    missed = (
-        _status(reported, known)
-        .filter("not direct and not in_subnet")
-        .selectExpr("0L as tp", "0L as fp", "1L as fn")
-    )
-    counts = totals.unionByName(missed).agg(
-        *[F.expr(f"coalesce(sum({c}), 0L) as {c}") for c in ("tp", "fp", "fn")]
-    )
+    return metrics_of(reported_keys(alerts), attackers)
+
+
+def metrics_of(reported: DataFrame, attackers: DataFrame) -> DataFrame:
+    """``detection_metrics`` by the ``reported_keys`` of the alerts, best stored: they are read three times."""
+    listed = read_attackers(attackers)
+    named = _named_by(listed)
+    hits = _hits(reported, named)
+    # an address counts once, a subnet as often as it was reported
+    weight = "sum(if(kind = 'address', 1L, reports))"
+    numbers = [
+        hits.selectExpr(f"{weight} as tp", "0L as raised", "0L as known", "0L as found"),
+        reported.selectExpr("0L as tp", f"{weight} as raised", "0L as known", "0L as found"),
+        listed.selectExpr("0L as tp", "0L as raised", "count(*) as known", "0L as found"),
+        named.join(hits.select(*KEY), KEY, "left_semi").select("ip").distinct()
+        .selectExpr("0L as tp", "0L as raised", "0L as known", "count(*) as found"),
+    ]
+    every = numbers[0]
+    for part in numbers[1:]:
+        every = every.unionByName(part)
+    counts = every.agg(*[F.expr(f"coalesce(sum({c}), 0L) as {c}") for c in ("tp", "raised", "known", "found")])
     return (
-        counts.selectExpr("*", f"{_ratio('tp', 'tp + fp')} as p", f"{_ratio('tp', 'tp + fn')} as r")
+        counts.selectExpr("tp", "raised - tp as fp", "known - found as fn")
+        .selectExpr("*", f"{_ratio('tp', 'tp + fp')} as p", f"{_ratio('tp', 'tp + fn')} as r")
         .selectExpr(
             "tp as true_positives",
             "fp as false_positives",

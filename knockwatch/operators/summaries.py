@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from knockwatch.functions.addresses import has_four_parts, is_private, subnet_key
-from knockwatch.functions.times import clock_hour
-from knockwatch.operators.attempts import failed_attempts
+from knockwatch.operators.failures import Source, hourly_rows
 from knockwatch.operators.rules import adaptive_rule, ip_profile, static_rule, with_baseline
 from knockwatch.settings import RuleSettings
 
@@ -27,32 +26,27 @@ def rule_share(alerts: DataFrame) -> DataFrame:
     return rule_breakdown(alerts).withColumn("share_percent", share)
 
 
-def failure_timeline(attempts: DataFrame) -> DataFrame:
+def failure_timeline(source: Source) -> DataFrame:
     """Failures per clock hour, in order; hours without failures are absent."""
-    return (
-        failed_attempts(attempts)
-        .groupBy(clock_hour("timestamp").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .orderBy("hour")
-    )
+    return hourly_rows(source).groupBy("hour").agg(F.sum("failures").alias("failures")).orderBy("hour")
 
 
-def top_failing_ips(attempts: DataFrame, limit: int = 10) -> DataFrame:
+def top_failing_ips(source: Source, limit: int = 10) -> DataFrame:
     """The addresses with most failures; ties go to the one seen first."""
     return (
-        failed_attempts(attempts)
+        hourly_rows(source)
         .groupBy("ip")
-        .agg(F.count(F.lit(1)).alias("failures"), F.min("timestamp").alias("first_seen"))
+        .agg(F.sum("failures").alias("failures"), F.min("first").alias("first_seen"))
         .orderBy(F.desc("failures"), "first_seen", "ip")
         .limit(limit)
     )
 
 
-def external_subnets(attempts: DataFrame, min_ips: int = 2) -> DataFrame:
+def external_subnets(source: Source, min_ips: int = 2) -> DataFrame:
     """/24 subnets outside the private ranges with at least ``min_ips`` failing addresses."""
     ip = F.col("ip")
     return (
-        failed_attempts(attempts)
+        hourly_rows(source)
         .filter(has_four_parts(ip) & ~is_private(ip))
         .select("ip")
         .distinct()
@@ -64,10 +58,10 @@ def external_subnets(attempts: DataFrame, min_ips: int = 2) -> DataFrame:
 
 
 def static_vs_adaptive(
-    attempts: DataFrame, baseline: DataFrame, settings: RuleSettings = RuleSettings()
+    source: Source, baseline: DataFrame, settings: RuleSettings = RuleSettings(), profile: DataFrame | None = None
 ) -> DataFrame:
-    """Number of alerts of the static and of the adaptive rule, from one profile."""
-    profile = with_baseline(ip_profile(attempts, settings), baseline, settings)
+    """Number of alerts of the static and of the adaptive rule, from one profile (``profile``, where there is one)."""
+    profile = with_baseline(ip_profile(source, settings) if profile is None else profile, baseline, settings)
     counted = profile.agg(
         F.count_if(F.expr(static_rule(settings).condition)).alias("Static"),
         F.count_if(F.expr(adaptive_rule(settings).condition)).alias("Adaptive"),

@@ -6,7 +6,7 @@ comparison: other forms than the Spark operators use.
 
 from __future__ import annotations
 
-from knockwatch.plans.event_views import ATTACKERS_SQL, ATTEMPTS_SQL, LINES_SQL, LOG_YEAR
+from knockwatch.plans.event_views import ATTACKERS_SQL, ATTEMPTS_SQL, LINES_SQL, LOG_YEAR, UNTIDY_LINES_SQL, UNTIDY_SQL
 
 # The line patterns, in the dialect of this check.
 HEAD = r"^(\w{3}\s+\d+\s+\d{2}:\d{2}:\d{2})\s+\S+\s+sshd\[\d+\]:\s+"
@@ -28,7 +28,7 @@ select event_id, line,
   {_extract(2)} as username, {_extract(3)} as ip,
   case when contains(line, 'Failed password') or (contains(line, 'Invalid user') and not contains(line, 'Accepted password'))
     then 'failed' else 'success' end as status
-from l where trim(line) <> ''
+from l where trim(line, E' \t') <> ''
 """
 PARSED = "select event_id, timestamp, username, ip, status from outcomes where timestamp is not null"
 NORMALIZED = "select event_id, timestamp, lower(trim(username)) as username, trim(ip) as ip, status from parsed"
@@ -102,6 +102,15 @@ select rule, ip, '{' ||
   coalesce(',"last_seen":"' || strftime(last_seen, '%Y-%m-%dT%H:%M:%S') || '"', '') || '}' as details
 from alerts
 """
+JSON_LINES = """
+select rule, ip, '{"rule":"' || rule || '","ip":"' || ip || '",' || details[2:] as json from details
+"""
+METRICS_JSON = """
+select '{"true_positives":' || true_positives || ',"false_positives":' || false_positives || ',"false_negatives":' || false_negatives
+  || ',"precision":' || precision || ',"recall":' || recall || ',"f1_score":' || f1_score
+  || ',"false_positive_rate":' || false_positive_rate || '}' as json
+from metrics
+"""
 BREAKDOWN = "select rule, count(*) as alerts from alerts group by rule"
 SHARE = "select rule, alerts, round_even(alerts * 100.0::double / sum(alerts) over (), 1) as share_percent from breakdown"
 
@@ -156,13 +165,35 @@ from (select *, greatest(6, cast(trunc(coalesce(baseline, 5) * 3 / 2.0) as integ
       from burst300 left join custom using (ip))
 where failed_count >= threshold_used
 """
+TIDY = r"""
+select event_id, timestamp, lower(trim(coalesce(username, ''), E' \t')) as username, trim(coalesce(ip, ''), E' \t') as ip, status from u
+"""
+UNTIDY_EXTERNAL = """
+select subnet, count(distinct ip) as failing_ips
+from (select ip, string_split(ip, '.') as parts, array_to_string(string_split(ip, '.')[1:3], '.') as subnet from a where status = 'failed')
+where len(parts) = 4 and not (parts[1] = '10' or (parts[1] = '172' and try_cast(parts[2] as integer) between 16 and 31)
+  or (parts[1] = '192' and parts[2] = '168'))
+group by subnet having count(distinct ip) >= 2
+"""
+UNTIDY_DISTRIBUTED = """
+select 'distributed_attack' as rule, subnet || '.0/24' as ip,
+  array_to_string(list_sort(list(distinct ip)), ',') as attacking_ips, username as target_username,
+  count(*) as failed_count, min(timestamp) as window_start, max(timestamp) as window_end
+from (select *, case when len(string_split(ip, '.')) = 4 then array_to_string(string_split(ip, '.')[1:3], '.') else ip end as subnet
+      from a where status = 'failed' and username <> '')
+group by subnet, username having count(distinct ip) >= 3 and max(timestamp) - min(timestamp) <= interval 1 day
+"""
 VERSUS = """
 select 'Static' as strategy, (select count(*) from static) as alerts
 union all select 'Adaptive', (select count(*) from adaptive)
 """
 
 ATTEMPTS_STEPS = [("a", ATTEMPTS_SQL)]
-LOG_STEPS = [("l", LINES_SQL), ("outcomes", OUTCOMES), ("parsed", PARSED)]
+PARSE_STEPS = [("outcomes", OUTCOMES), ("parsed", PARSED)]
+LOG_STEPS = [("l", LINES_SQL), *PARSE_STEPS]
+# the patterns of this check are anchored: an untidy line is stripped first
+UNTIDY_LOG_STEPS = [("untidy", UNTIDY_LINES_SQL), ("l", "select event_id, trim(line, E' \\t') as line from untidy"), *PARSE_STEPS]
+UNTIDY_STEPS = [("u", UNTIDY_SQL), ("a", TIDY)]
 FAIL_STEPS = [("fails", FAILS), ("named", NAMED), ("hourly", HOURLY), ("base", BASE)]
 BURST_STEPS = [("burst60", _burst("fails", 60)), ("burst300", _burst("fails", 300)), ("burst600", _burst("named", 600))]
 RULE_STEPS = FAIL_STEPS + BURST_STEPS + [
@@ -221,6 +252,8 @@ CHECKS: dict[str, str] = {
     "distributed_attack": _rules("select * from distributed"),
     "all_alerts": _rules("select * from alerts"),
     "alert_details": _rules(DETAILS),
+    "alerts_json_lines": _attempts(JSON_LINES, RULE_STEPS + [("details", DETAILS)]),
+    "metrics_json_lines": _scores(METRICS_JSON),
     "rule_breakdown": _rules("select * from breakdown"),
     "rule_share": _rules(SHARE),
     "detection_metrics": _scores("select * from metrics"),
@@ -241,4 +274,13 @@ CHECKS: dict[str, str] = {
         """select (select count(*) from parsed) as attempts,
         (select count(*) from outcomes where timestamp is null) as skipped, (select count(*) from alerts) as alerts""",
     ),
+    "parse_untidy_lines": _with(UNTIDY_LOG_STEPS, "select * from parsed"),
+    "count_untidy_lines": _with(
+        UNTIDY_LOG_STEPS,
+        "select count(*) as lines, count(timestamp) as attempts, count(*) - count(timestamp) as skipped from outcomes",
+    ),
+    "reject_untidy_lines": _with(UNTIDY_LOG_STEPS, "select event_id, line from outcomes where timestamp is null"),
+    "normalize_untidy_attempts": _with(UNTIDY_STEPS, "select * from a"),
+    "external_subnets_untidy": _with(UNTIDY_STEPS, UNTIDY_EXTERNAL),
+    "distributed_attack_untidy": _with(UNTIDY_STEPS, UNTIDY_DISTRIBUTED),
 }

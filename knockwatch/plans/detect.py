@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from knockwatch.operators.alerts import all_alerts
-from knockwatch.operators.attempts import count_outcomes, normalize_attempts, parse_outcomes
+from knockwatch.operators.attempts import normalize_attempts, observed_counts, parse_attempts
 from knockwatch.operators.baseline import global_baseline
-from knockwatch.operators.scoring import detection_metrics, metric_percentages
+from knockwatch.operators.failures import Failures
+from knockwatch.operators.rules import ip_profile
+from knockwatch.operators.scoring import metric_percentages, metrics_of, reported_keys
 from knockwatch.operators.summaries import (
     external_subnets,
     failure_timeline,
@@ -20,7 +21,7 @@ from knockwatch.operators.summaries import (
     static_vs_adaptive,
     top_failing_ips,
 )
-from knockwatch.plans.restart import stored, work_folder
+from knockwatch.plans.restart import keep_in, work_folder
 from knockwatch.settings import RuleSettings
 from knockwatch.sources.readers import read_lines
 from knockwatch.sources.writers import iso_times, write_alerts_csv, write_alerts_json, write_metrics_json
@@ -46,22 +47,21 @@ def detect(
     ``RuleSettings``; the static/adaptive comparison always uses the defaults.
 
     The text is read once, and each reading task writes one file, whatever the order of
-    the lines. Rejected lines stay in the stored table as rows of nulls (which cost next
-    to nothing in columnar files), so both counts come from it, exactly, without a second
-    pass over the logs. That
-    table and the alerts go to a new folder in ``work`` (default: the folder named by
-    ``spark.checkpoint.dir``, or ``out`` where that is unset); it can be deleted later.
+    the lines; that pass also counts accepted and rejected lines. The stored attempts are
+    read twice, to count failures per second and per username (``Failures``); those counts,
+    the profile of each address, the alerts and the reported keys are stored in turn, and
+    all results start from them. They go to a new folder in ``work`` (default: the folder
+    named by ``spark.checkpoint.dir``, or ``out`` where that is unset), which can be deleted later.
     """
     rules = replace(RuleSettings(), **settings)
-    folder = work_folder(spark, work, out)
+    keep = keep_in(work_folder(spark, work, out))
 
-    lines = read_lines(spark, paths)
-    outcomes = normalize_outcomes(parse_outcomes(lines, year).drop("line"))
-    parsed = stored(outcomes, f"{folder}/attempts")
-    attempts = parsed.filter(F.col("timestamp").isNotNull())
-
-    baseline = global_baseline(attempts, rules)
-    alerts = stored(all_alerts(attempts, baseline, rules), f"{folder}/alerts")
+    counts = Observation()
+    attempts = keep(normalize_attempts(parse_attempts(read_lines(spark, paths), year, counts=counts)), "attempts")
+    failures = Failures(attempts, keep)
+    baseline = global_baseline(failures, rules)
+    profile = keep(ip_profile(failures, rules), "profile")
+    alerts = keep(all_alerts(failures, baseline, rules, profile), "alerts")
 
     def save(table: DataFrame, name: str) -> None:
         iso_times(table).write.mode(mode).json(f"{out}/{name}")
@@ -69,22 +69,22 @@ def detect(
     write_alerts_json(alerts, f"{out}/alerts_json", mode)
     write_alerts_csv(alerts, f"{out}/alerts_csv", mode)
     save(rule_breakdown(alerts), "rule_breakdown")
-    save(report_totals(count_outcomes(parsed), alerts), "report_totals")
+    save(report_totals(observed_counts(spark, counts), alerts), "report_totals")
     if attackers is not None:
-        write_metrics_json(detection_metrics(alerts, attackers), f"{out}/metrics", mode)
+        metrics = keep(metrics_of(keep(reported_keys(alerts), "reported"), attackers), "metrics")
+        write_metrics_json(metrics, f"{out}/metrics", mode)
     if summaries:
-        save(top_failing_ips(attempts), "top_failing_ips")
-        save(failure_timeline(attempts), "failure_timeline")
+        save(top_failing_ips(failures), "top_failing_ips")
+        save(failure_timeline(failures), "failure_timeline")
         save(rule_share(alerts), "rule_share")
-        save(static_vs_adaptive(attempts, global_baseline(attempts)), "static_vs_adaptive")
-        save(external_subnets(attempts), "external_subnets")
+        save(_default_comparison(failures, rules, baseline, profile), "static_vs_adaptive")
+        save(external_subnets(failures), "external_subnets")
         if attackers is not None:
-            metrics = spark.read.schema(detection_metrics(alerts, attackers).schema).json(f"{out}/metrics")
             save(metric_percentages(metrics), "metric_percentages")
 
 
-def normalize_outcomes(outcomes: DataFrame) -> DataFrame:
-    """Normalised attempts; rejected lines keep nulls throughout."""
-    parsed = F.col("timestamp").isNotNull()
-    clean = normalize_attempts(outcomes)
-    return clean.withColumns({c: F.when(parsed, F.col(c)) for c in ("username", "ip")})
+def _default_comparison(failures: Failures, rules: RuleSettings, baseline: DataFrame, profile: DataFrame) -> DataFrame:
+    """Static against adaptive by the defaults; the job's own profile and baseline serve where it runs by them."""
+    if rules == RuleSettings():
+        return static_vs_adaptive(failures, baseline, profile=profile)
+    return static_vs_adaptive(failures, global_baseline(failures))

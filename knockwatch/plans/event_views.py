@@ -65,6 +65,49 @@ select event_id, concat(strftime(ts, '%b %d %H:%M:%S'), ' host01 sshd[', cast(ev
 from events
 """
 
+# Untidy lines: every few of the lines above are blank, padded, without a real date or time, or cut short.
+UNTIDY_LINES_SPARK = f"""
+select event_id, case event_id % 13
+  when 0 then '' when 1 then ' \t ' when 2 then concat('\t  ', line, ' \t') when 3 then concat('Feb 30', substring(line, 7))
+  when 4 then concat('Foo', substring(line, 4)) when 5 then concat(substring(line, 1, 7), '24:00:00', substring(line, 16))
+  when 6 then concat(substring(line, 1, 4), '7', substring(line, 7)) when 7 then substring(line, 1, length(line) - 12)
+  when 8 then concat(lower(substring(line, 1, 3)), substring(line, 4)) else line end as line
+from ({LINES_SPARK})
+"""
+
+UNTIDY_LINES_SQL = f"""
+select event_id, case event_id % 13
+  when 0 then '' when 1 then ' ' || chr(9) || ' ' when 2 then chr(9) || '  ' || line || ' ' || chr(9) when 3 then 'Feb 30' || substring(line, 7)
+  when 4 then 'Foo' || substring(line, 4) when 5 then substring(line, 1, 7) || '24:00:00' || substring(line, 16)
+  when 6 then substring(line, 1, 4) || '7' || substring(line, 7) when 7 then substring(line, 1, length(line) - 12)
+  when 8 then lower(substring(line, 1, 3)) || substring(line, 4) else line end as line
+from ({LINES_SQL})
+"""
+
+# Untidy attempts: padded and upper-case names, nulls, addresses in and around every private
+# range and of other than four parts.
+UNTIDY_SPARK = f"""
+select event_id, timestamp, status,
+  case event_id % 6 when 0 then null when 1 then concat(' ', upper(username), '\t') when 2 then concat(username, ' ') else username end as username,
+  case user_id % 11 when 0 then null when 1 then concat('10.1.2.', last) when 2 then concat('172.16.4.', last, ' ')
+    when 3 then concat('172.31.4.', last) when 4 then concat('172.32.4.', last) when 5 then concat('192.168.9.', last)
+    when 6 then concat('192.169.9.', last) when 7 then concat('fe80::', last) when 8 then concat('1.2.', last)
+    when 9 then concat('1.2.3.4.', last) else concat('\t198.51.100.', last) end as ip
+from (select a.*, e.user_id, cast(e.event_id % 5 as string) as last
+      from ({ATTEMPTS_SPARK}) a join {{events}} e on a.event_id = e.event_id)
+"""
+
+UNTIDY_SQL = f"""
+select event_id, timestamp, status,
+  case event_id % 6 when 0 then null when 1 then ' ' || upper(username) || chr(9) when 2 then username || ' ' else username end as username,
+  case user_id % 11 when 0 then null when 1 then '10.1.2.' || last when 2 then '172.16.4.' || last || ' '
+    when 3 then '172.31.4.' || last when 4 then '172.32.4.' || last when 5 then '192.168.9.' || last
+    when 6 then '192.169.9.' || last when 7 then 'fe80::' || last when 8 then '1.2.' || last
+    when 9 then '1.2.3.4.' || last else chr(9) || '198.51.100.' || last end as ip
+from (select a.*, e.user_id, cast(e.event_id % 5 as varchar) as last
+      from ({ATTEMPTS_SQL}) a join events e on a.event_id = e.event_id)
+"""
+
 # Attackers: one that lies in a reported subnet but never appears, and one that is missed.
 ATTACKERS = """
 select distinct ip from {attempts} where status = 'failed' and (ip like '203.0.%' or ip like '45.32.%')
@@ -86,5 +129,13 @@ def lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LINES_SPARK, events=_events(spark, sf_dir))
 
 
+def untidy_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(UNTIDY_LINES_SPARK, events=_events(spark, sf_dir))
+
+
+def untidy_attempts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(UNTIDY_SPARK, events=_events(spark, sf_dir))
+
+
 def attackers_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ATTACKERS, attempts=attempts_view(spark, sf_dir))

@@ -19,16 +19,31 @@ def iso_times(table: DataFrame) -> DataFrame:
     return table.withColumns({name: text(name) for name, kind in table.dtypes if kind == "timestamp_ntz"})
 
 
+def json_line(table: DataFrame) -> Column:
+    """A row of ``table`` as a JSON object that holds only what is not null."""
+    return F.to_json(F.struct(*table.columns), {"ignoreNullFields": "true"})
+
+
+def alerts_json_lines(alerts: DataFrame) -> DataFrame:
+    """``rule``, ``ip`` and the whole alert as ``json``: only the keys its rule fills, times in ISO form."""
+    timed = iso_times(alerts)
+    return timed.select("rule", "ip", json_line(timed).alias("json"))
+
+
+def metrics_json_lines(metrics: DataFrame) -> DataFrame:
+    """The metrics as ``json``."""
+    return metrics.select(json_line(metrics).alias("json"))
+
+
 def write_alerts_json(alerts: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per alert, holding only the keys its rule fills; times in ISO form."""
-    iso_times(alerts).write.mode(mode).option("ignoreNullFields", True).json(path)
+    """One JSON object per alert, as of ``alerts_json_lines``."""
+    alerts_json_lines(alerts).select("json").write.mode(mode).text(path)
 
 
 def alert_details(alerts: DataFrame) -> DataFrame:
     """``rule``, ``ip`` and the other filled fields as JSON text in ``details``."""
-    others = [c for c in alerts.columns if c not in ("rule", "ip")]
-    details = F.to_json(F.struct(*others), {"ignoreNullFields": "true"})
-    return iso_times(alerts).select("rule", "ip", details.alias("details"))
+    timed = iso_times(alerts)
+    return timed.select("rule", "ip", json_line(timed.drop("rule", "ip")).alias("details"))
 
 
 def write_alerts_csv(alerts: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -47,4 +62,5 @@ def write_alerts_csv(alerts: DataFrame, path: str, mode: str = "errorifexists")
 
 
 def write_metrics_json(metrics: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    metrics.write.mode(mode).json(path)
+    """The metrics, as of ``metrics_json_lines``."""
+    metrics_json_lines(metrics).write.mode(mode).text(path)

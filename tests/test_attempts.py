@@ -1,14 +1,17 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Observation
 
 from knockwatch.operators.attempts import (
     count_outcomes,
     normalize_attempts,
+    observed_counts,
     parse_attempts,
     parse_outcomes,
     rejected_lines,
 )
+from knockwatch.plans.restart import stored
 from knockwatch.sources import read_lines
 
 
@@ -121,6 +124,24 @@ def test_each_pattern_stands_once_in_the_plan(spark):
     assert plan.count("regexp_replace(") == 3
 
 
+def test_counts_are_observed_by_the_pass_that_stores(spark, tmp_path):
+    """The same counts as by a pass of their own, also without lines, also over several tasks."""
+    texts = [line(text=text) for text, _ in MESSAGES] * 50 + ["", " \t", "junk"] * 20
+    for given in (texts, []):
+        lines = spark.createDataFrame([(t,) for t in given], "line string").repartition(7)
+        counts = Observation()
+        kept = stored(parse_attempts(lines, 2026, counts=counts), str(tmp_path / f"kept{len(given)}"))
+        expected = count_outcomes(parse_outcomes(lines, 2026)).first()
+        assert observed_counts(spark, counts).first() == expected
+        assert kept.count() == expected.attempts and kept.columns == ["timestamp", "username", "ip", "status"]
+
+
+def test_blank_lines_are_no_outcome(spark):
+    df = spark.createDataFrame([(1, ""), (2, " \t\x0b "), (3, "\u2003"), (4, "x"), (5, None)], "id int, line string")
+    assert [r.id for r in parse_outcomes(df, 2026).collect()] == [4]
+    assert [r.id for r in rejected_lines(df, 2026).collect()] == [4]
+
+
 def test_normalize(attempts):
     df = attempts([(0, " 1.2.3.4\t", "\xa0ALICE  "), (1, None, None), (2, "1.1.1.1", "bob", "success")])
     rows = {(r.ip, r.username, r.status) for r in normalize_attempts(df).collect()}

@@ -3,8 +3,11 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import BASE
+from pyspark.sql import functions as F
 
-from knockwatch.operators.bursts import best_burst
+from knockwatch.functions.times import wall_micros
+from knockwatch.operators.bursts import Burst, best_burst, slice_micros, trailing_ranges
+from knockwatch.operators.failures import Failures
 from knockwatch.operators.rules import ip_profile
 from knockwatch.settings import RuleSettings
 
@@ -67,6 +70,49 @@ def test_sub_second_and_before_1970(attempts):
         assert run(attempts, rows, 60, slice_seconds=100) == {"a": brute_force(times, 60)}
 
 
+@pytest.mark.parametrize("width", [7 * 86400, 30 * 86400])
+def test_ranges_of_days(attempts, width):
+    """Wider than a slice would be: slices grow with the range."""
+    rng = random.Random(width)
+    rows = [(rng.randrange(90 * 86400), ip, "") for ip in "abc" for _ in range(120)]
+    got = run(attempts, rows, width)
+    for ip in "abc":
+        assert got[ip] == brute_force([at(s) for s, i, _ in rows if i == ip], width)
+
+
+@pytest.mark.parametrize("slice_rows", [40, 1000])
+def test_flood_of_sub_second_times(attempts, slice_rows):
+    """Very many distinct times in a few seconds: slices get shorter, results stay."""
+    rng = random.Random(slice_rows)
+    times = [BASE + timedelta(microseconds=rng.randrange(20 * 10**6)) for _ in range(500)]
+    times += [BASE + timedelta(seconds=rng.randrange(40000)) for _ in range(100)]
+    assert run(attempts, [(t, "a", "") for t in times], 3, slice_rows=slice_rows) == {"a": brute_force(times, 3)}
+
+
+@pytest.mark.parametrize("widest, slice_seconds, slice_rows", [(60, 21600, 1000), (60, 10, 1000), (60, 21600, 1), (7 * 86400, 21600, 1000)])
+def test_a_row_has_two_copies_at_most(spark, attempts, widest, slice_seconds, slice_rows):
+    df = attempts([(i * 7, "a", "") for i in range(400)])
+    failures = Failures(df)
+    size = slice_micros(failures.hours, widest, slice_seconds, slice_rows)
+    shortest = failures.hours.select(size.alias("size")).first().size
+    assert widest * 10**6 <= shortest <= max(widest, slice_seconds) * 10**6
+    plan = trailing_ranges(failures.seconds, ["ip"], [Burst("b", "n", widest)], size)
+    assert plan.count() == 400  # each row once in the end
+    sliced = failures.seconds.select(F.explode(F.sequence(
+        F.floor((wall_micros("timestamp") - widest * 10**6) / size), F.floor(wall_micros("timestamp") / size)
+    )))
+    assert sliced.count() <= 2 * 400
+
+
+def test_a_measured_flood_shortens_slices(attempts):
+    slow = Failures(attempts([(i, "a", "") for i in range(600)])).hours
+    flood = Failures(attempts([(BASE + timedelta(milliseconds=i), "a", "") for i in range(600)])).hours
+    for hours, rows in ((slow, 600), (flood, 600)):
+        assert hours.first().times == rows
+        assert hours.select(slice_micros(hours, 1, slice_rows=10).alias("s")).first().s == 60 * 10**6
+    assert attempts([]).select(slice_micros(Failures(attempts([])).hours, 1).alias("s")).count() == 0
+
+
 def test_other_keys(attempts):
     rows = [(0, "a", "x"), (10, "a", "y"), (20, "a", "y")]
     df = best_burst(attempts(rows), keys=("ip", "username"), seconds=60)

@@ -10,6 +10,8 @@ from knockwatch.plans.detect import detect
 from knockwatch.plans.job import arguments, main
 from knockwatch.sources import (
     alert_details,
+    alerts_json_lines,
+    metrics_json_lines,
     read_attackers,
     read_attackers_file,
     write_alerts_csv,
@@ -72,6 +74,20 @@ def test_json_keys_per_rule(alerts, tmp_path):
     ]
 
 
+def test_lines_are_what_the_writers_write(spark, alerts, tmp_path):
+    write_alerts_json(alerts, str(tmp_path / "alerts"))
+    shown = [json.loads(r.json) for r in alerts_json_lines(alerts).collect()]
+    order = lambda rows: sorted(rows, key=lambda r: (r["rule"], r["ip"]))
+    assert order(shown) == order(objects(tmp_path / "alerts"))
+    again = spark.read.schema(alerts.schema).json(str(tmp_path / "alerts"))
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, alerts.collect()))
+    metrics = spark.sql("select 1 as true_positives, 0.5D as precision, cast(null as double) as recall")
+    write_metrics_json(metrics, str(tmp_path / "metrics"))
+    assert [json.loads(r.json) for r in metrics_json_lines(metrics).collect()] == objects(tmp_path / "metrics")
+    write_alerts_json(alerts.limit(0), str(tmp_path / "none"))
+    assert objects(tmp_path / "none") == []
+
+
 def test_csv_round_trip(alerts, tmp_path):
     write_alerts_csv(alerts, str(tmp_path / "out"))
     headers, rows = table(tmp_path / "out")

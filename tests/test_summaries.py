@@ -1,9 +1,13 @@
+import random
 from datetime import datetime, timedelta
 
 from conftest import BASE
 
-from knockwatch.operators.attempts import count_outcomes, parse_outcomes
-from knockwatch.operators.baseline import global_baseline
+from knockwatch.operators.alerts import all_alerts
+from knockwatch.operators.attempts import count_outcomes, normalize_attempts, parse_outcomes
+from knockwatch.operators.baseline import baseline_by_ip, global_baseline, hourly_failures_by_ip
+from knockwatch.operators.failures import Failures
+from knockwatch.operators.rules import account_diversity, distributed_attack, ip_profile, off_hours, static_threshold
 from knockwatch.operators.summaries import (
     external_subnets,
     failure_timeline,
@@ -11,6 +15,7 @@ from knockwatch.operators.summaries import (
     static_vs_adaptive,
     top_failing_ips,
 )
+from knockwatch.plans.restart import keep_in
 
 
 def test_timeline_has_no_gap_rows(attempts):
@@ -58,3 +63,23 @@ def test_report_totals(spark):
 
 def test_hours_are_zone_free_values(attempts):
     assert failure_timeline(attempts([(datetime(2026, 1, 1, 0, 30), "a", "u")])).first().hour == datetime(2026, 1, 1)
+
+
+def test_counted_failures_give_the_same(attempts, tmp_path):
+    """Every summary and rule from stored counts equals that from the attempts."""
+    rng = random.Random(8)
+    names = ["", "ann", "bob", "cy", None]
+    rows = [(rng.randrange(200000), f"45.1.{rng.randrange(3)}.{rng.randrange(4)}", rng.choice(names), rng.choice(["failed", "success"])) for _ in range(900)]
+    rows += [(5, None, "ann"), (6, "1.2", "ann"), (None, "45.1.1.1", "bob")]
+    df = normalize_attempts(attempts(rows))
+    kept = Failures(df, keep_in(str(tmp_path / "counts")))
+    operators = [
+        failure_timeline, top_failing_ips, external_subnets, hourly_failures_by_ip, global_baseline, baseline_by_ip,
+        off_hours, static_threshold, account_diversity, distributed_attack,
+        lambda source: static_vs_adaptive(source, global_baseline(source)),
+        lambda source: all_alerts(source, global_baseline(source)),
+    ]
+    for operator in operators:
+        assert sorted(map(repr, operator(df).collect())) == sorted(map(repr, operator(kept).collect()))
+    profile = keep_in(str(tmp_path / "profile"))(ip_profile(kept), "profile")
+    assert sorted(map(repr, all_alerts(kept, profile=profile).collect())) == sorted(map(repr, all_alerts(df).collect()))
