@@ -20,7 +20,9 @@ from knockwatch.operators.attempts import (
 from knockwatch.operators.baseline import baseline_by_ip, global_baseline, hourly_failures_by_ip
 from knockwatch.operators.bursts import best_burst_of
 from knockwatch.operators.failures import Failures
+from knockwatch.plans.detect import detect
 from knockwatch.plans.event_views import (
+    JOB_ATTACKERS,
     LOG_YEAR,
     attackers_view,
     attempts_view,
@@ -29,7 +31,9 @@ from knockwatch.plans.event_views import (
     untidy_lines_view,
 )
 from knockwatch.plans.restart import keep_in, work_folder
+from knockwatch.schemas import ALERTS
 from knockwatch.settings import RuleSettings
+from knockwatch.sources.readers import read_lines
 from knockwatch.sources.writers import alert_details, alerts_json_lines, metrics_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +117,47 @@ def _report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.report_totals(observed_counts(spark, counts), _alerts_of(attempts))
 
 
+def _log_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The untidy lines as log files; some of the files are compressed."""
+    lines = untidy_lines_view(spark, sf_dir)
+    lines.filter("event_id % 3 > 0").select("line").repartition(3).write.text(f"{folder}/logs/plain")
+    lines.filter("event_id % 3 = 0").select("line").write.option("compression", "gzip").text(f"{folder}/logs/zipped")
+    return f"{folder}/logs/*"
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_lines(spark, _log_files(spark, sf_dir, work_folder(spark, None)))
+
+
+def _job(spark: SparkSession, sf_dir: str) -> str:
+    """Run the whole job over log files; the folder of its results."""
+    folder = work_folder(spark, None)
+    attackers = spark.sql(JOB_ATTACKERS)
+    detect(spark, _log_files(spark, sf_dir, folder), f"{folder}/out", attackers, LOG_YEAR, work=folder)
+    return f"{folder}/out"
+
+
+def _job_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(spark.read.schema(ALERTS).json(f"{_job(spark, sf_dir)}/alerts_json"))
+
+
+def _job_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV alerts, and whether the write time lies within this query."""
+    before = spark.sql("select date_trunc('second', now())").first()[0]
+    rows = spark.read.option("header", True).option("escape", '"').csv(f"{_job(spark, sf_dir)}/alerts_csv")
+    written = F.to_timestamp("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
+    return rows.select("rule", "ip", "details", written.between(F.lit(before), F.now()).alias("written_now"))
+
+
+def _job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = scoring.metrics_of(scoring.reported_keys(spark.createDataFrame([], ALERTS)), spark.sql(JOB_ATTACKERS)).schema
+    return spark.read.schema(schema).json(f"{_job(spark, sf_dir)}/metrics")
+
+
+def _job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema("attempts long, skipped long, alerts long").json(f"{_job(spark, sf_dir)}/report_totals")
+
+
 QUERIES: dict[str, Query] = {
     "parse_attempts": _parsed,
     "parse_counts": lambda spark, sf_dir: count_outcomes(parse_outcomes(lines_view(spark, sf_dir), LOG_YEAR)),
@@ -153,4 +198,9 @@ QUERIES: dict[str, Query] = {
     "distributed_attack_untidy": _on_untidy(
         lambda attempts: _flat(rules.distributed_attack(_failures(normalize_attempts(attempts)), UNTIDY_RULES))
     ),
+    "scan_log_files": _scanned,
+    "job_alerts_json": _job_alerts,
+    "job_alerts_csv": _job_csv,
+    "job_metrics_json": _job_metrics,
+    "job_report_totals": _job_totals,
 }

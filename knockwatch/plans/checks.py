@@ -6,7 +6,7 @@ comparison: other forms than the Spark operators use.
 
 from __future__ import annotations
 
-from knockwatch.plans.event_views import ATTACKERS_SQL, ATTEMPTS_SQL, LINES_SQL, LOG_YEAR, UNTIDY_LINES_SQL, UNTIDY_SQL
+from knockwatch.plans.event_views import ATTACKERS_SQL, ATTEMPTS_SQL, JOB_ATTACKERS, LINES_SQL, LOG_YEAR, UNTIDY_LINES_SQL, UNTIDY_SQL
 
 # The line patterns, in the dialect of this check.
 HEAD = r"^(\w{3}\s+\d+\s+\d{2}:\d{2}:\d{2})\s+\S+\s+sshd\[\d+\]:\s+"
@@ -214,6 +214,9 @@ SCORE_STEPS = [
     ("metrics", METRICS),
 ]
 
+JOB_STEPS = [*UNTIDY_LOG_STEPS, ("a", NORMALIZED), *RULE_STEPS]
+JOB_SCORE_STEPS = [*JOB_STEPS, ("t", JOB_ATTACKERS), *SCORE_STEPS[1:]]
+
 
 def _with(steps: list[tuple[str, str]], final: str) -> str:
     parts = ",\n".join(f"{name} as ({sql.strip()})" for name, sql in steps)
@@ -283,4 +286,13 @@ CHECKS: dict[str, str] = {
     "normalize_untidy_attempts": _with(UNTIDY_STEPS, "select * from a"),
     "external_subnets_untidy": _with(UNTIDY_STEPS, UNTIDY_EXTERNAL),
     "distributed_attack_untidy": _with(UNTIDY_STEPS, UNTIDY_DISTRIBUTED),
+    "scan_log_files": _with([("u", UNTIDY_LINES_SQL)], "select line from u"),
+    "job_alerts_json": _with(JOB_STEPS, "select * from alerts"),
+    "job_alerts_csv": _with([*JOB_STEPS, ("details", DETAILS)], "select rule, ip, details, true as written_now from details"),
+    "job_metrics_json": _with(JOB_SCORE_STEPS, "select * from metrics"),
+    "job_report_totals": _with(
+        JOB_STEPS,
+        """select (select count(*) from parsed) as attempts,
+        (select count(*) from outcomes where timestamp is null) as skipped, (select count(*) from alerts) as alerts""",
+    ),
 }

@@ -114,6 +114,9 @@ select distinct ip from {attempts} where status = 'failed' and (ip like '203.0.%
 union select '203.0.1.200' union select '198.51.100.1'
 """
 
+# Attackers for the job over log files: some that fail there, one that is never seen.
+JOB_ATTACKERS = "select '10.0.0.' || i as ip from (values (1), (3), (4)) as n(i) union all select '198.51.100.1'"
+
 ATTACKERS_SQL = ATTACKERS.format(attempts="a")
 
 
