@@ -1,13 +1,17 @@
 """Passages repeated across documents, by MinHash banding of paragraphs.
 
-Paragraphs (lines) with enough words get a MinHash signature over their word shingles, cut
-into bands tuned for high recall at the wanted similarity. Paragraphs that collide in a
-band are verified by exact Jaccard similarity and clustered; of each cluster the first
-occurrence stays and the others are removed.
-
-No bucket is expanded into all its pairs: its members are first verified against its
-smallest one, and then only members that are still in different clusters meet. A bucket
-whose members are one cluster by then is done.
+1. One pass turns every paragraph (a line of five words or more) into its place and a digest
+   of its words; the words themselves and the band hashes of their MinHash signature are
+   kept once for each digest that a task meets.
+2. A band hash is one number. Hashes that only one digest has are dropped after counting;
+   only paragraphs of crowded buckets are joined, and only their words are moved.
+3. In each bucket the members are verified, by exact Jaccard similarity, against its smallest
+   one. Buckets that are one cluster by then are done.
+4. Paragraphs of other buckets are joined by an exact filter instead of in pairs: two sets
+   alike to the wanted degree share one of the rarest few shingles of each. Paragraphs with
+   such a shingle in common are verified in blocks of a bounded size, spread over the tasks;
+   those of one cluster are not compared again, and only links come out.
+5. Clusters are the components of all links; the first occurrence of a cluster stays.
 """
 
 from __future__ import annotations
@@ -20,18 +24,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knockwatch.llm import textvec
 from knockwatch.llm.components import components
 from knockwatch.llm.store import cut
 
 SHINGLE = 5
 SIMILARITY = 0.8
-MIN_WORDS = 30
 RECALL = 0.999
+MOST_HASHES = 32
+#: Words whose signatures are computed together, and paragraphs verified together.
+WORDS_AT_ONCE, BLOCK = 1 << 18, 1024
+#: Digests a task remembers, to keep the words of repeated paragraphs once; forgetting only costs space.
+REMEMBERED = 1 << 18
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-PARAGRAPHS = "doc_id long, place int, start long, end long, digest binary, bands array<long>, line string"
+_NOT_SPACE = ~textvec.SPACE
 
 
-def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, most_hashes: int = 128) -> tuple[int, int]:
+def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, most_hashes: int = MOST_HASHES) -> tuple[int, int]:
     """(bands, rows of a band): the longest rows with which a pair at ``similarity`` collides with probability
     ``recall`` or more, using at most so many hashes."""
     best = (most_hashes, 1)
@@ -46,18 +55,36 @@ def _shingles(words: list[bytes]) -> list[bytes]:
     return [b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))]
 
 
-def signature_bands(words: list[bytes], bands: int, rows: int) -> np.ndarray:
-    """One hash for each band of the MinHash signature of the words' shingles."""
+def shingle_hashes(paragraphs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the word shingles of paragraphs (words joined by blanks), and where each paragraph's begin."""
+    data = np.frombuffer(b"\n".join(paragraphs), dtype=np.uint8)
+    starts, at = textvec.runs(_NOT_SPACE[data])
+    words = textvec.hash_runs(data[at], starts)
+    line = np.searchsorted(np.flatnonzero(data == 10), at[starts])
+    last = len(words) - SHINGLE + 1
+    whole = line[SHINGLE - 1 :] == line[:last]
+    hashes = np.zeros(last, dtype=np.uint64)
+    for i in range(SHINGLE):
+        hashes = textvec.mix(hashes + words[i : i + last] + np.uint64(i + 1))
+    hashes, line = hashes[whole], line[:last][whole]
+    return hashes, np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+
+
+def signature_bands(paragraphs: list[bytes], bands: int, rows: int) -> np.ndarray:
+    """(paragraph, band): one hash for each band of the MinHash signatures."""
     rng = np.random.default_rng(11)
     odd = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    add = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
-    hashes = np.array([xxhash.xxh64_intdigest(s) for s in _shingles(words)], dtype=np.uint64)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 4096):
-        mixed = hashes[at : at + 4096, None] * odd + add
-        least = np.minimum(least, ((mixed ^ (mixed >> np.uint64(32))) * odd).min(axis=0))
-    least = least.reshape(bands, rows)
-    return np.array([xxhash.xxh64_intdigest(band.tobytes()) for band in least], dtype=np.uint64).view(np.int64)
+    salt = rng.integers(1, 1 << 63, bands, dtype=np.uint64)
+    hashes, starts = shingle_hashes(paragraphs)
+    out = np.empty((len(paragraphs), bands), dtype=np.uint64)
+    for band in range(bands):
+        key = np.full(len(paragraphs), salt[band])
+        for row in range(band * rows, band * rows + rows):
+            mixed = hashes * odd[row]
+            least = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(29)), starts)
+            key = textvec.mix(key + least)
+        out[:, band] = key
+    return out.view(np.int64)
 
 
 def jaccard(a: str, b: str) -> float:
@@ -67,113 +94,195 @@ def jaccard(a: str, b: str) -> float:
     return len(first & second) / len(first | second)
 
 
-def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """A row for each line of at least ``min_words`` words: where it stands (code points, end exclusive), a
-    128-bit digest of its words (A-Z lower-cased), its band hashes, its words."""
+def paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """A row for each line of five words or more: ``doc_id``, where it stands (``place`` among the lines; ``start``
+    and ``end`` in code points, end exclusive), ``n_words``, a 128-bit ``digest`` of its words (A-Z lower-cased).
+    ``bands`` and ``words`` stand where a task first meets the digest and may stand again later."""
     bands, rows = tuned_bands(similarity)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, place int, start long, end long, n_words int, digest binary, bands array<long>, words string"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def found(tables: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in PARAGRAPHS.split(", ")]
+        met: set[bytes] = set()
+        out: list[list] = []
+        new: list[tuple[int, bytes]] = []
+        size = 0
+
+        def finished() -> pd.DataFrame:
+            hashes = signature_bands([joined for _, joined in new], bands, rows) if new else ()
+            for (i, joined), bands_of in zip(new, hashes):
+                out[i][-2:] = [bands_of, joined.decode("utf-8", "surrogatepass")]
+            return pd.DataFrame(out, columns=names)
+
         for table in tables:
-            out = []
             for doc_id, text in zip(table["doc_id"], table["text"]):
                 at = 0
                 for place, line in enumerate((text or "").split("\n")):
                     words = line.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-                    if len(words) >= max(1, min_words):
+                    if len(words) >= SHINGLE:
                         joined = b" ".join(words)
                         digest = xxhash.xxh3_128_digest(joined)
-                        hashes = signature_bands(words, bands, rows)
-                        line_text = joined.decode("utf-8", "surrogatepass")
-                        out.append((doc_id, place, at, at + len(line), digest, hashes, line_text))
+                        if digest not in met:
+                            met.add(digest)
+                            new.append((len(out), joined))
+                            size += len(words)
+                        out.append([doc_id, place, at, at + len(line), len(words), digest, None, None])
                     at += len(line) + 1
-                if len(out) > 5000:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names)
+                if size > WORDS_AT_ONCE or len(out) > 20_000:
+                    yield finished()
+                    out, new, size = [], [], 0
+                    if len(met) > REMEMBERED:
+                        met.clear()
+        yield finished()
 
-    return docs.filter("doc_id is not null").select("doc_id", "text").mapInPandas(found, PARAGRAPHS)
+    return docs.filter("doc_id is not null").select("doc_id", "text").mapInPandas(found, schema)
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Of the ``a, b`` digests those whose lines are similar enough."""
+def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Of the ``a, b`` digests those whose paragraphs are similar enough."""
 
     @F.pandas_udf("double")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
-    first = lines.select(F.col("digest").alias("a"), F.col("line").alias("line_a"))
-    second = lines.select(F.col("digest").alias("b"), F.col("line").alias("line_b"))
+    first = words.select(F.col("digest").alias("a"), F.col("words").alias("words_a"))
+    second = words.select(F.col("digest").alias("b"), F.col("words").alias("words_b"))
     both = pairs.join(first, "a").join(second, "b")
-    return cut(both.filter(alike(F.col("line_a"), F.col("line_b")) >= similarity).select("a", "b"))
+    return cut(both.filter(alike(F.col("words_a"), F.col("words_b")) >= similarity).select("a", "b"))
 
 
-def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Stored ``paragraphs`` → ``digest, cluster`` for the lines that are similar to another, different line."""
-    banded = found.select("digest", F.posexplode("bands").alias("band", "hash")).distinct()
-    crowded = banded.groupBy("band", "hash").agg(F.min("digest").alias("leader"), F.max("digest").alias("last"))
-    crowded = cut(crowded.filter("leader <> last").drop("last"))
-    members = cut(banded.join(crowded, ["band", "hash"]))
-    lines = cut(
-        found.select("digest", "line").join(members.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
+def rare_shingles(words: DataFrame, similarity: float) -> DataFrame:
+    """``digest, shingle`` for the rarest shingles of each paragraph (``digest``, ``words``), as many as two alike
+    paragraphs cannot both be without. Rarity is that among these paragraphs; hashes break ties."""
+
+    @F.pandas_udf("array<long>")
+    def hashed(texts: pd.Series) -> pd.Series:
+        if not len(texts):
+            return pd.Series([], dtype=object)
+        hashes, starts = shingle_hashes([t.encode("utf-8", "surrogatepass") for t in texts])
+        return pd.Series([np.unique(h).view(np.int64) for h in np.split(hashes, starts[1:])])
+
+    every = cut(words.select("digest", hashed("words").alias("all")))
+    each = every.select("digest", F.size("all").alias("size"), F.explode("all").alias("shingle"))
+    met = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"))
+    ranked = each.join(met, "shingle").groupBy("digest").agg(
+        F.array_sort(F.collect_list(F.struct("met", "shingle"))).alias("all"), F.first("size").alias("size")
     )
-    to_leader = members.filter("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b"))
-    links = _verified(to_leader.distinct(), lines, similarity)
-    so_far = components(links)
+    enough = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9).cast("int") + 1
+    return ranked.select("digest", F.explode(F.slice("all", F.lit(1), enough)).alias("s")).select("digest", "s.shingle")
+
+
+def links_of_blocks(lines: DataFrame, similarity: float) -> DataFrame:
+    """``shingle, digest, cluster, words`` → links ``a, b`` between similar paragraphs of different clusters that
+    share a shingle. A shingle with many paragraphs is cut into blocks by digest, and every two blocks meet once."""
+    sizes = lines.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+    dealt = lines.join(sizes, "shingle").withColumn("parts", parts).withColumn("own", own)
+    other = F.sequence(F.lit(0), F.col("parts") - 1)
+    met = dealt.select("shingle", "digest", "cluster", "words", "own", F.explode(other).alias("other"))
+    met = met.select("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "digest", "cluster", "words")
+
+    def compared(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
+        _, low, high = key
+        sets = [set(_shingles(w.encode("utf-8", "surrogatepass").split())) for w in table["words"]]
+        cluster = {c: c for c in table["cluster"]}
+
+        def root(c: bytes) -> bytes:
+            while cluster[c] != c:
+                c = cluster[c]
+            return c
+
+        found = []
+        rows = list(zip(table["digest"], table["cluster"], table["own"], sets))
+        rows.sort(key=lambda r: len(r[3]))
+        for j, (b, cluster_b, own_b, set_b) in enumerate(rows):
+            for i in range(j - 1, -1, -1):
+                a, cluster_a, own_a, set_a = rows[i]
+                if len(set_a) < similarity * len(set_b) - 1e-9:
+                    break
+                if (low != high and own_a == own_b) or root(cluster_a) == root(cluster_b):
+                    continue
+                common = len(set_a & set_b)
+                if common >= similarity * (len(set_a) + len(set_b) - common) - 1e-9:
+                    found.append((a, b))
+                    cluster[root(cluster_a)] = root(cluster_b)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return met.groupBy("shingle", "low", "high").applyInPandas(compared, "a binary, b binary")
+
+
+def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Stored ``paragraphs`` → ``digest, cluster`` for those that are similar to another, different one."""
+    some = found.filter("words is not null")
+    banded = some.select("digest", F.explode("bands").alias("band"))
+    # eight bytes tell the digests of a bucket apart: here they are counted, not known by them
+    brief = banded.select("band", F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long").alias("brief"))
+    crowded = brief.groupBy("band").agg(F.min("brief").alias("low"), F.max("brief").alias("high")).filter("low <> high")
+    members = cut(banded.join(crowded.select("band"), "band").distinct())
+    leaders = members.groupBy("band").agg(F.min("digest").alias("leader"))
+    words = cut(some.select("digest", "words").join(members.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]))
+    to_leader = members.join(leaders, "band").filter("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b"))
+    links = _verified(to_leader.distinct(), words, similarity)
+    so_far = cut(components(links))
     placed = members.join(so_far, members["digest"] == so_far["node"], "left")
-    placed = cut(placed.select("band", "hash", "digest", F.coalesce("component", "digest").alias("cluster")))
-    mixed = placed.groupBy("band", "hash").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
-    mixed = cut(mixed.filter("low <> high").select("band", "hash"))
-    open_ = placed.join(mixed, ["band", "hash"], "left_semi")
-    other = open_.select(
-        F.col("band").alias("band2"), F.col("hash").alias("hash2"), F.col("digest").alias("b"), F.col("cluster").alias("cluster2")
-    )
-    meets = (F.col("band") == F.col("band2")) & (F.col("hash") == F.col("hash2")) & (F.col("cluster") < F.col("cluster2"))
-    cross = open_.join(other, meets).select(F.col("digest").alias("a"), "b").distinct()
-    links = links.unionByName(_verified(cross, lines, similarity))
+    placed = cut(placed.select("band", "digest", F.coalesce("component", "digest").alias("cluster")))
+    mixed = placed.groupBy("band").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).filter("low <> high")
+    open_ = cut(placed.join(mixed.select("band"), "band", "left_semi").select("digest", "cluster").distinct())
+    rest = open_.join(words, "digest")
+    lines = rare_shingles(rest.select("digest", "words"), similarity).join(rest, "digest")
+    links = links.unionByName(cut(links_of_blocks(lines, similarity)))
     return components(links).select(F.col("node").alias("digest"), F.col("component").alias("cluster"))
 
 
-def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Every occurrence of a paragraph that another one repeats: ``doc_id, place, start, end, first_doc, removed``.
+def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Every occurrence of a paragraph that another one repeats: ``doc_id, place, start, end, n_words, first_doc, removed``.
 
     ``first_doc`` has the first occurrence of the cluster (by ``doc_id``, then place), which is not removed.
     """
-    found = cut(paragraphs(docs, min_words, similarity).distinct())
+    found = cut(paragraphs(docs, similarity))
     clusters = cut(paragraph_clusters(found, similarity))
-    placed = found.select("doc_id", "place", "start", "end", "digest").join(clusters, "digest", "left")
-    placed = cut(placed.select("doc_id", "place", "start", "end", F.coalesce("cluster", "digest").alias("cluster")))
-    firsts = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = cut(firsts.filter("n > 1").select("cluster", "first"))
-    return placed.join(firsts, "cluster").select(
-        "doc_id", "place", "start", "end",
+    places = found.select("doc_id", "place", "start", "end", "n_words", "digest").distinct()
+    each = places.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+    each = cut(each.join(clusters, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest")))
+    firsts = each.groupBy("cluster").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
+    repeated = cut(each.select("digest", "cluster").join(firsts.select("cluster", "first"), "cluster").select("digest", "first"))
+    return places.join(repeated, "digest").select(
+        "doc_id", "place", "start", "end", "n_words",
         F.col("first.doc_id").alias("first_doc"),
         (F.struct("doc_id", "place") != F.col("first")).alias("removed"),
     )
 
 
-def passage_dedup(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, n_repeated, n_removed, component_id, repeated`` for every document.
+def passage_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, n_repeated, n_removed, repeated_words, longest_repeated, component_id, repeated`` for every document.
 
     ``n_repeated`` counts its paragraphs that stand elsewhere too (or again), ``n_removed``
-    those of them that go; ``component_id`` is the smallest ``doc_id`` that has the first
+    those of them that go; ``repeated_words`` are the words of the former, ``longest_repeated``
+    those of the longest; ``component_id`` is the smallest ``doc_id`` that has the first
     occurrence of any of them, its own where there is none; ``repeated`` lists them as
-    start:end:first_doc, in text order. Documents are told apart by ``doc_id``: equal repeated
-    rows are one. Rows without ``doc_id`` are one document without paragraphs. A null text
-    has none. An empty table gives no rows; other columns are not looked at.
+    start:end:first_doc, in text order. A paragraph of fewer than five words has no shingle
+    and is left alone. Documents are told apart by ``doc_id`` (of any type that has an
+    order): equal repeated rows are one; of rows that share an id but not a text, places in
+    all texts count. Rows without ``doc_id`` are one document without paragraphs. A null text
+    has none; a text or line of any length is read whole. Of equal first places none differ.
+    An empty table gives no rows; other columns are not looked at.
     """
-    each = repeated_paragraphs(docs, min_words, similarity).groupBy("doc_id").agg(
+    each = repeated_paragraphs(docs, similarity).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_repeated"),
         F.count_if("removed").alias("n_removed"),
+        F.sum("n_words").alias("repeated_words"),
+        F.max("n_words").cast("long").alias("longest_repeated"),
         F.min("first_doc").alias("first_doc"),
         F.array_sort(F.collect_list(F.struct("start", "end", "first_doc"))).alias("all"),
     )
     ids = docs.select("doc_id").distinct()
     text: Column = F.array_join(F.transform("all", lambda s: F.concat_ws(":", s["start"], s["end"], s["first_doc"])), ",")
+    counts = ["n_repeated", "n_removed", "repeated_words", "longest_repeated"]
     return ids.join(each, "doc_id", "left").select(
         "doc_id",
-        F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"),
-        F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
         F.coalesce(F.least("first_doc", "doc_id"), "doc_id").alias("component_id"),
         F.coalesce(text, F.lit("")).alias("repeated"),
     )

@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new temporary one for a local session
-    where that is unset. Files in it can be deleted once the results are written."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tables-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from knockwatch.plans.restart import scratch_folder, stored
 
 
 def cut(table: DataFrame) -> DataFrame:
-    """Write ``table`` and read it back: its lineage ends here, and Spark knows its size."""
-    path = f"{shared_folder(table.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+    """Write ``table`` and read it back: its lineage ends here, and Spark knows its size.
+
+    It goes to the folder named by ``spark.checkpoint.dir`` and can be deleted once the
+    results are written; a local session without that setting gets a folder that goes with it.
+    """
+    return stored(table, f"{scratch_folder(table.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}")

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -373,28 +374,104 @@ def test_nearest_examples_are_exact_and_toxic_words_are_learned(spark, docs, not
     assert toxicity.toxicity_scores(nothing, labels).collect() == []
 
 
-@pytest.mark.parametrize("similarity", [0.8, 0.5])
-def test_repeated_passages(docs, rows, similarity):
+def passages_by_hand(rows, similarity):
+    """Paragraphs as (doc_id, place) → (start, end, n_words, first of its cluster), for those that are repeated."""
     lines = []
     for i, t in {(r[0], r[1]) for r in rows if r[0] is not None}:
         at = 0
         for place, line in enumerate((t or "").split("\n")):
             words = line.translate(A_TO_Z).split()
-            if len(words) >= 30:
+            if len(words) >= 5:
                 lines.append(((i, place), at, at + len(line), frozenset(tuple(words[j : j + 5]) for j in range(len(words) - 4)), tuple(words)))
             at += len(line) + 1
-    group = {x[0]: x[0] for x in lines}
+    parent = {x[0]: x[0] for x in lines}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
     for a, b in itertools.combinations(lines, 2):
         if a[4] == b[4] or len(a[3] & b[3]) / len(a[3] | b[3]) >= similarity:
-            low, high = sorted((group[a[0]], group[b[0]]))
-            group = {k: low if g == high else g for k, g in group.items()}
-    many = {g for g in group.values() if sum(v == g for v in group.values()) > 1}
-    want = sorted(repr((k[0], k[1], a, b, group[k][0], k != group[k])) for k, a, b, *_ in lines if group[k] in many)
+            low, high = sorted((root(a[0]), root(b[0])))
+            parent[high] = low
+    group = {k: root(k) for k in parent}
+    many = {g for g, n in Counter(group.values()).items() if n > 1}
+    return {k: (start, end, len(words), group[k]) for k, start, end, _, words in lines if group[k] in many}
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.5])
+def test_repeated_passages(docs, rows, similarity):
+    """All columns of both results."""
+    want = passages_by_hand(rows, similarity)
     found = paragraph_dedup.repeated_paragraphs(docs, similarity=similarity)
-    assert counted(found, "doc_id", "place", "start", "end", "first_doc", "removed") == want
-    assert len(want) >= 6
+    expected = sorted(repr((*k, a, b, n, first[0], k != first)) for k, (a, b, n, first) in want.items())
+    assert counted(found, "doc_id", "place", "start", "end", "n_words", "first_doc", "removed") == expected
+    assert len(want) >= 8
+    reports = {}
+    for i in {r[0] for r in rows}:
+        own = sorted((a, b, n, first[0], k != first) for k, (a, b, n, first) in want.items() if k[0] == i)
+        reports[i] = (
+            i, len(own), sum(x[4] for x in own), sum(x[2] for x in own), max([x[2] for x in own], default=0),
+            min([x[3] for x in own] + [i]) if i is not None else None, ",".join(f"{a}:{b}:{f}" for a, b, _, f, _ in own),
+        )
     each = paragraph_dedup.passage_dedup(docs, similarity=similarity)
-    assert each.count() == len({r[0] for r in rows})
+    assert {r.doc_id: tuple(r) for r in each.collect()} == reports
+
+
+def family(rng, size):
+    """Paragraphs on one template: each is like some others, few are like the first."""
+    common = sentence(rng, 30).split()
+    rows = []
+    for i in range(size):
+        words = common + sentence(rng, 12).split()
+        words[i % 30] = f"x{i % 5}"
+        rows.append(words)
+        near = list(words)
+        near[-1] = "other"
+        rows.append(near)
+    return [" ".join(w) for w in rows]
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_a_crowded_bucket_loses_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(paragraph_dedup, "BLOCK", block)
+    rng = random.Random(block)
+    lines = family(rng, 25) + [sentence(rng, 8)] * 40 + [sentence(rng, 4)] * 3
+    rows = [(i, "\n".join(lines[i : i + 1] + ["tail"])) for i in range(len(lines))]
+    rng.shuffle(rows)
+    table = spark.createDataFrame([(str(i), t, "x") for i, t in rows], "doc_id string, text string, digest string")
+    want = passages_by_hand([(str(i), t) for i, t in rows], 0.8)
+    found = paragraph_dedup.repeated_paragraphs(table)
+    assert counted(found, "doc_id", "place", "first_doc") == sorted(repr((*k, first[0])) for k, (*_, first) in want.items())
+    # every paragraph in the same bucket: what the bands do not tell apart, the rare shingles must
+    stored = paragraph_dedup.cut(paragraph_dedup.paragraphs(table))
+    same = stored.withColumn("bands", F.when(F.col("words").isNotNull(), F.array(F.lit(7).cast("long"))))
+    clusters = {bytes(r.digest): bytes(r.cluster) for r in paragraph_dedup.paragraph_clusters(same).collect()}
+    of = {(r.doc_id, r.place): bytes(r.digest) for r in stored.collect()}
+    grouped = {}
+    for k, digest in of.items():
+        grouped.setdefault(clusters.get(digest, digest), set()).add(k)
+    wanted = {}
+    for k, (*_, first) in want.items():
+        wanted.setdefault(first, set()).add(k)
+    assert {frozenset(g) for g in grouped.values() if len(g) > 1} == {frozenset(g) for g in wanted.values()}
+
+
+def test_recall_of_the_tuned_bands():
+    bands, rows = paragraph_dedup.tuned_bands()
+    assert bands * rows <= paragraph_dedup.MOST_HASHES and 1 - (1 - 0.8**rows) ** bands >= 0.999
+    rng = random.Random(9)
+    pairs, met = 0, 0
+    for _ in range(300):
+        words = sentence(rng, 60).split()
+        other = list(words)
+        other[rng.randrange(60)] = "changed"
+        a, b = " ".join(words), " ".join(other)
+        if paragraph_dedup.jaccard(a, b) >= 0.8:
+            signs = paragraph_dedup.signature_bands([a.encode(), b.encode()], bands, rows)
+            pairs, met = pairs + 1, met + bool((signs[0] == signs[1]).any())
+    assert pairs > 200 and met / pairs > 0.99
 
 
 def test_empty_tables(nothing, spark):
