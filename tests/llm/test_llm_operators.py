@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -351,29 +352,72 @@ def test_quality_on_held_out_documents(spark, docs, nothing):
     assert quality_model.quality_scores(nothing, labels).collect() == []
 
 
-def test_nearest_examples_are_exact_and_toxic_words_are_learned(spark, docs, nothing):
+def cosines_by_hand(texts, query):
+    """Cosines of all TF-IDF vectors, over all words, by plain loops."""
+    counts = [Counter(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", t.translate(A_TO_Z))) for t in texts]
+    met = Counter(w for c in counts for w in c)
+
+    def vector(c):
+        v = {w: (1 + math.log(n)) * math.log((len(texts) + 1) / met[w]) ** toxicity.IDF_POWER for w, n in c.items() if w in met}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {w: x / norm for w, x in v.items()}
+
+    known = [vector(c) for c in counts]
+    asked = vector(Counter(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", query.translate(A_TO_Z))))
+    return np.array([sum(x * v.get(w, 0.0) for w, x in asked.items()) for v in known])
+
+
+def test_nearest_examples_are_those_of_a_full_comparison(monkeypatch):
+    """Words of every rarity count, in blocks of any size, read or left out."""
     rng = random.Random(3)
-    texts = [sentence(rng, 40) for _ in range(300)]
-    index = toxicity.build(np.arange(300), [toxicity.word_counts(t) for t in texts], np.arange(300) % 2, k=7)
-    dense = index.blocks.transpose(0, 2, 1).reshape(-1, len(index.terms))[:300]
-    for t in texts[:40] + ["", "alpha1 beta2"]:
-        at, weight = index.vector(*toxicity.word_counts(t))
-        cosines = dense[:, at] @ weight
-        want = np.sort(cosines[cosines > 0])[::-1][:7]
-        found, got = index.nearest(at, weight)
-        assert np.allclose(got, want, atol=1e-5) and np.allclose(cosines[found], got, atol=1e-5)
+    texts = [" ".join([sentence(rng, 25), "the and", rng.choice(["de", "es"]), f"once{i}"]) for i in range(240)]
+    texts += texts[:6] + ["", "the"]
+    labels = np.array([i % 3 == 0 for i in range(len(texts))])
+    for block in (16, 256):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        index = toxicity.build(np.arange(len(texts)), [toxicity.word_counts(t) for t in texts], labels, k=7)
+        assert 0 < index.full.shape[1] < len(index.terms)
+        index.read = [0, 0]
+        for t in texts[:30] + ["", "alpha1 beta2", "once5 once7", "the the and", "unknown", sentence(rng, 400)]:
+            cosines = cosines_by_hand(texts, t)
+            ((yes, no),) = index.nearest([index.vector(*toxicity.word_counts(t))])
+            for kind, (found, got) in ((True, yes), (False, no)):
+                own = cosines[labels == kind]
+                assert np.allclose(got, np.sort(own[own > 1e-9])[::-1][:7], atol=1e-5)
+                assert np.allclose(cosines[index.ids[found].astype(int)], got, atol=1e-5)
+                assert (labels[index.ids[found].astype(int)] == kind).all()
+        assert index.read[0] < index.read[1] or block == 256
+
+
+def test_toxic_words_are_learned(spark, docs, nothing):
     table, labels = labelled(spark, lambda r: sentence(r, 30), lambda r: sentence(r, 25) + " vile foul rude " + sentence(r, 5))
-    # the marked words must be rarer than a tenth of the examples to count as terms
+    # a word that every third text has says little by its idf: the marked words are rarer
     rare = table.filter("doc_id % 3 <> 0 or doc_id < 60")
     scored = toxicity.toxicity_scores(rare, labels.join(rare.select("doc_id"), "doc_id")).collect()
     assert np.mean([(r.predicted == 1) == (r.doc_id % 3 == 0) for r in scored if r.held_out]) > 0.95
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in scored)
+    toxic = {r.doc_id for r in labels.filter("toxic = 1").collect()}
+    assert all(set(r.evidence) <= toxic and len(r.evidence) == toxicity.EVIDENCE for r in scored if r.doc_id % 3 == 0)
     odd = toxicity.toxicity_scores(docs, labels)
     assert odd.count() == docs.count() and odd.filter("score is null or score < 0 or score > 1").count() == 0
     assert {r.score for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect()} == {0.5}
+    for kind in (0, 1):
+        assert {r.score for r in toxicity.toxicity_scores(docs, labels.filter(f"toxic = {kind}")).collect()} == {float(kind)}
     assert toxicity.toxicity_scores(nothing, labels).collect() == []
 
 
+def test_text_ids_and_a_bounded_sample(spark):
+    table, labels = labelled(spark, lambda r: sentence(r, 30), lambda r: sentence(r, 25) + " vile foul rude")
+    named = [t.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))) for t in (table, labels)]
+    scored = toxicity.toxicity_scores(*named).collect()
+    assert all(e.startswith("d") for r in scored for e in r.evidence) and any(r.evidence for r in scored)
+    again = named[0].unionByName(named[0]).unionByName(named[0].withColumn("text", F.lit("zz")))
+    assert toxicity.train(again, named[1], bound=10**9).ids.tolist() != []
+    assert len(toxicity.train(again, named[1], bound=10**9).ids) == len(toxicity.train(*named, bound=10**9).ids)
+    few = toxicity.sampled_examples(named[1], "toxic", 60).groupBy("label").count().collect()
+    assert {r["label"] for r in few} == {0, 1} and all(10 <= r["count"] <= 60 for r in few)
+
+
 def passages_by_hand(rows, similarity):
     """Paragraphs as (doc_id, place) → (start, end, n_words, first of its cluster), for those that are repeated."""
     lines = []
