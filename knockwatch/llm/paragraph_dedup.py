@@ -3,8 +3,8 @@
 1. One pass turns every paragraph (a line of five words or more) into its place and a digest
    of its words; the words themselves and the band hashes of their MinHash signature are
    kept once for each digest that a task meets.
-2. A band hash is one number. Hashes that only one digest has are dropped after counting;
-   only paragraphs of crowded buckets are joined, and only their words are moved.
+2. A band hash is one number; digests meet by it in one shuffle, and those alone in their
+   bucket are dropped there. Only paragraphs of crowded buckets have their words looked up.
 3. In each bucket the members are verified, by exact Jaccard similarity, against its smallest
    one. Buckets that are one cluster by then are done.
 4. Paragraphs of other buckets are joined by an exact filter instead of in pairs: two sets
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from knockwatch.llm import textvec
@@ -31,7 +31,9 @@ from knockwatch.llm.store import cut
 SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.999
-MOST_HASHES = 32
+MOST_HASHES = 16
+#: Digests (16 bytes each) that may be broadcast to find their words; beyond so many, words and digests are shuffled.
+BROADCAST_DIGESTS = 400_000
 #: Words whose signatures are computed together, and paragraphs verified together.
 WORDS_AT_ONCE, BLOCK = 1 << 18, 1024
 #: Digests a task remembers, to keep the words of repeated paragraphs once; forgetting only costs space.
@@ -173,15 +175,18 @@ def rare_shingles(words: DataFrame, similarity: float) -> DataFrame:
     return ranked.select("digest", F.explode(F.slice("all", F.lit(1), enough)).alias("s")).select("digest", "s.shingle")
 
 
-def links_of_blocks(lines: DataFrame, similarity: float) -> DataFrame:
-    """``shingle, digest, cluster, words`` → links ``a, b`` between similar paragraphs of different clusters that
-    share a shingle. A shingle with many paragraphs is cut into blocks by digest, and every two blocks meet once."""
-    sizes = lines.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def links_of_blocks(rare: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` between similar paragraphs (``digest, cluster, words``) of different clusters that share one of
+    their ``rare_shingles``. Words are joined only where clusters meet. A shingle with many paragraphs is cut into
+    blocks by digest, and every two blocks meet once."""
+    known = rare.join(lines.select("digest", "cluster"), "digest")
+    sizes = known.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    sizes = sizes.filter("low <> high").select("shingle", "n")
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
-    dealt = lines.join(sizes, "shingle").withColumn("parts", parts).withColumn("own", own)
+    dealt = cut(known.join(sizes, "shingle").withColumn("parts", parts).withColumn("own", own))
     other = F.sequence(F.lit(0), F.col("parts") - 1)
-    met = dealt.select("shingle", "digest", "cluster", "words", "own", F.explode(other).alias("other"))
+    met = dealt.join(lines.select("digest", "words"), "digest").select("shingle", "digest", "cluster", "words", "own", F.explode(other).alias("other"))
     met = met.select("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "digest", "cluster", "words")
 
     def compared(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
@@ -216,23 +221,23 @@ def links_of_blocks(lines: DataFrame, similarity: float) -> DataFrame:
 def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Stored ``paragraphs`` → ``digest, cluster`` for those that are similar to another, different one."""
     some = found.filter("words is not null")
+    bucket = Window.partitionBy("band")
     banded = some.select("digest", F.explode("bands").alias("band"))
-    # eight bytes tell the digests of a bucket apart: here they are counted, not known by them
-    brief = banded.select("band", F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long").alias("brief"))
-    crowded = brief.groupBy("band").agg(F.min("brief").alias("low"), F.max("brief").alias("high")).filter("low <> high")
-    members = cut(banded.join(crowded.select("band"), "band").distinct())
-    leaders = members.groupBy("band").agg(F.min("digest").alias("leader"))
-    words = cut(some.select("digest", "words").join(members.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]))
-    to_leader = members.join(leaders, "band").filter("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b"))
+    crowded = banded.select("band", "digest", F.min("digest").over(bucket).alias("leader"), F.max("digest").over(bucket).alias("last"))
+    members = cut(crowded.filter("leader <> last").select("band", "digest", "leader").distinct())
+    digests = cut(members.select("digest").distinct())
+    wanted = F.broadcast(digests) if digests.count() <= BROADCAST_DIGESTS else digests
+    words = cut(some.select("digest", "words").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "zstd")
+    to_leader = members.filter("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b"))
     links = _verified(to_leader.distinct(), words, similarity)
     so_far = cut(components(links))
     placed = members.join(so_far, members["digest"] == so_far["node"], "left")
     placed = cut(placed.select("band", "digest", F.coalesce("component", "digest").alias("cluster")))
     mixed = placed.groupBy("band").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).filter("low <> high")
     open_ = cut(placed.join(mixed.select("band"), "band", "left_semi").select("digest", "cluster").distinct())
-    rest = open_.join(words, "digest")
-    lines = rare_shingles(rest.select("digest", "words"), similarity).join(rest, "digest")
-    links = links.unionByName(cut(links_of_blocks(lines, similarity)))
+    rest = cut(open_.join(words, "digest"), "zstd")
+    rare = cut(rare_shingles(rest.select("digest", "words"), similarity))
+    links = links.unionByName(cut(links_of_blocks(rare, rest, similarity)))
     return components(links).select(F.col("node").alias("digest"), F.col("component").alias("cluster"))
 
 
@@ -241,7 +246,7 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> Data
 
     ``first_doc`` has the first occurrence of the cluster (by ``doc_id``, then place), which is not removed.
     """
-    found = cut(paragraphs(docs, similarity))
+    found = cut(paragraphs(docs, similarity), "zstd")
     clusters = cut(paragraph_clusters(found, similarity))
     places = found.select("doc_id", "place", "start", "end", "n_words", "digest").distinct()
     each = places.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))

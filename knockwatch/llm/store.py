@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from knockwatch.plans.restart import scratch_folder, stored
+from knockwatch.plans.restart import scratch_folder
 
 
-def cut(table: DataFrame) -> DataFrame:
+def cut(table: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write ``table`` and read it back: its lineage ends here, and Spark knows its size.
 
     It goes to the folder named by ``spark.checkpoint.dir`` and can be deleted once the
     results are written; a local session without that setting gets a folder that goes with it.
     """
-    return stored(table, f"{scratch_folder(table.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}")
+    path = f"{scratch_folder(table.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    table.write.option("compression", codec).parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
