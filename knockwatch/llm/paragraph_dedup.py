@@ -6,11 +6,11 @@
 2. A band hash is one number; digests meet by it in one shuffle, and those alone in their
    bucket are dropped there. Only paragraphs of crowded buckets have their words looked up.
 3. In each bucket the members are verified, by exact Jaccard similarity, against its smallest
-   one. Buckets that are one cluster by then are done.
+   one. Buckets whose members all link to it are done.
 4. Paragraphs of other buckets are joined by an exact filter instead of in pairs: two sets
    alike to the wanted degree share one of the rarest few shingles of each. Paragraphs with
    such a shingle in common are verified in blocks of a bounded size, spread over the tasks;
-   those of one cluster are not compared again, and only links come out.
+   those already linked are not compared again, and only links come out.
 5. Clusters are the components of all links; the first occurrence of a cluster stays.
 """
 
@@ -189,33 +189,49 @@ def links_of_blocks(rare: DataFrame, lines: DataFrame, similarity: float) -> Dat
     met = dealt.join(lines.select("digest", "words"), "digest").select("shingle", "digest", "cluster", "words", "own", F.explode(other).alias("other"))
     met = met.select("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "digest", "cluster", "words")
 
-    def compared(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
-        sets = [set(_shingles(w.encode("utf-8", "surrogatepass").split())) for w in table["words"]]
-        cluster = {c: c for c in table["cluster"]}
-
-        def root(c: bytes) -> bytes:
-            while cluster[c] != c:
-                c = cluster[c]
-            return c
-
-        found = []
-        rows = list(zip(table["digest"], table["cluster"], table["own"], sets))
-        rows.sort(key=lambda r: len(r[3]))
-        for j, (b, cluster_b, own_b, set_b) in enumerate(rows):
-            for i in range(j - 1, -1, -1):
-                a, cluster_a, own_a, set_a = rows[i]
-                if len(set_a) < similarity * len(set_b) - 1e-9:
-                    break
-                if (low != high and own_a == own_b) or root(cluster_a) == root(cluster_b):
-                    continue
-                common = len(set_a & set_b)
-                if common >= similarity * (len(set_a) + len(set_b) - common) - 1e-9:
-                    found.append((a, b))
-                    cluster[root(cluster_a)] = root(cluster_b)
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return met.groupBy("shingle", "low", "high").applyInPandas(compared, "a binary, b binary")
+    def compared(tables: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, rows = None, []
+        for table in tables:
+            found = []
+            for shingle, low, high, own, digest, cluster, line in table.itertuples(index=False, name=None):
+                if (shingle, low, high) != key:
+                    found += _links(rows, key is not None and key[1] != key[2], similarity)
+                    key, rows = (shingle, low, high), []
+                rows.append((digest, cluster, own, line))
+            yield pd.DataFrame(found, columns=["a", "b"])
+        yield pd.DataFrame(_links(rows, key is not None and key[1] != key[2], similarity), columns=["a", "b"])
+
+    dealt_out = met.repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high")
+    return dealt_out.mapInPandas(compared, "a binary, b binary")
+
+
+def _links(rows: list[tuple], two_blocks: bool, similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links between the paragraphs (digest, cluster, block, words) of one or two blocks, until they are one cluster."""
+    if len(rows) < 2:
+        return []
+    sets = [set(_shingles(r[3].encode("utf-8", "surrogatepass").split())) for r in rows]
+    cluster = {r[1]: r[1] for r in rows}
+
+    def root(c: bytes) -> bytes:
+        while cluster[c] != c:
+            c = cluster[c]
+        return c
+
+    found = []
+    order = sorted(range(len(rows)), key=lambda i: len(sets[i]))
+    for place, j in enumerate(order):
+        b, cluster_b, own_b, _ = rows[j]
+        for i in reversed(order[:place]):
+            a, cluster_a, own_a, _ = rows[i]
+            if len(sets[i]) < similarity * len(sets[j]) - 1e-9:
+                break
+            if (two_blocks and own_a == own_b) or root(cluster_a) == root(cluster_b):
+                continue
+            common = len(sets[i] & sets[j])
+            if common >= similarity * (len(sets[i]) + len(sets[j]) - common) - 1e-9:
+                found.append((a, b))
+                cluster[root(cluster_a)] = root(cluster_b)
+    return found
 
 
 def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -230,11 +246,11 @@ def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> Data
     words = cut(some.select("digest", "words").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "zstd")
     to_leader = members.filter("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b"))
     links = _verified(to_leader.distinct(), words, similarity)
-    so_far = cut(components(links))
-    placed = members.join(so_far, members["digest"] == so_far["node"], "left")
-    placed = cut(placed.select("band", "digest", F.coalesce("component", "digest").alias("cluster")))
-    mixed = placed.groupBy("band").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).filter("low <> high")
-    open_ = cut(placed.join(mixed.select("band"), "band", "left_semi").select("digest", "cluster").distinct())
+    # what did not link to the leader of its bucket may link to others there; the least leader is a first label
+    unlinked = members.filter("digest <> leader").join(links, (F.col("digest") == F.col("a")) & (F.col("leader") == F.col("b")), "left_anti")
+    labels = links.groupBy(F.col("a").alias("digest")).agg(F.min("b").alias("cluster"))
+    open_ = members.join(unlinked.select("band").distinct(), "band", "left_semi").select("digest").distinct()
+    open_ = open_.join(labels, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest"))
     rest = cut(open_.join(words, "digest"), "zstd")
     rare = cut(rare_shingles(rest.select("digest", "words"), similarity))
     links = links.unionByName(cut(links_of_blocks(rare, rest, similarity)))
