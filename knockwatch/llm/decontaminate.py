@@ -161,8 +161,10 @@ def _null_safe_left(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without any hit word, columns as they were."""
+    """The rows of ``docs`` without any hit word; columns as they were, whatever they are called."""
     bad = contamination(docs, items).filter("contaminated")
     bad = cut(bad.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(bad, on, "left_anti")
+    # the row stays in one column while it meets others
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    on = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
+    return rows.join(bad, on, "left_anti").select("row.*")

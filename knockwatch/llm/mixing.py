@@ -136,9 +136,11 @@ def mixture(
 
 
 def take(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as ``plan`` says, with the ``epoch`` of each copy."""
+    """The rows of ``docs`` as often as ``plan`` says, with the ``epoch`` of each copy (in place of a column of that
+    name); the other columns as they were, whatever they are called."""
     chosen = cut(plan.filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "copies").distinct())
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = docs.join(chosen, on).select(*[docs[c] for c in docs.columns], F.col("copies").alias("_copies"))
-    each = joined.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    return each.drop("_copies")
+    # the row stays in one column while it meets others
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    on = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
+    each = rows.join(chosen, on).select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    return each.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "epoch"], F.col("copy").alias("epoch"))

@@ -32,29 +32,40 @@ def places(last: Column) -> Column:
     return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _totals(values: Column, start: Column) -> Column:
+def _scan(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each number what ``step`` makes of ``start`` and the numbers before it."""
     return F.aggregate(
         values,
-        F.struct(start.cast("long").alias("total"), F.array().cast("array<bigint>").alias("out")),
-        lambda a, v: F.struct((a["total"] + v).alias("total"), F.array_append(a["out"], a["total"]).alias("out")),
+        F.struct(start.cast("long").alias("so_far"), F.array().cast("array<bigint>").alias("out")),
+        lambda a, v: F.struct(step(a["so_far"], v).cast("long").alias("so_far"), F.array_append(a["out"], a["so_far"]).alias("out")),
         lambda a: a["out"],
     )
 
 
-def totals_before(values: Column, chunk: int = 128) -> Column:
-    """For each number of an array the sum of those before it. The array is summed in chunks,
-    since appending to an array copies it."""
+def scan_before(values: Column, start: int, step: Callable[[Column, Column], Column], chunk: int = 128) -> Column:
+    """``_scan`` of an associative ``step``. The array is read in chunks, since appending to an array copies it."""
 
     def of(v: Column) -> Column:
         chunks = places(F.ceil(F.size(v) / chunk).cast("int"))
+        first = F.lit(start).cast("long")
 
         def part(c: Column) -> Column:
             return F.slice(v, (c - 1) * chunk + 1, F.lit(chunk))
 
-        sums = F.transform(chunks, lambda c: F.aggregate(part(c), F.lit(0).cast("long"), lambda a, x: a + x))
+        wholes = F.transform(chunks, lambda c: F.aggregate(part(c), first, lambda a, x: step(a, x).cast("long")))
         return let(
-            _totals(sums, F.lit(0)),
-            lambda starts: F.flatten(F.transform(chunks, lambda c: _totals(part(c), F.get(starts, c - 1)))),
+            _scan(wholes, first, step),
+            lambda starts: F.flatten(F.transform(chunks, lambda c: _scan(part(c), F.get(starts, c - 1), step))),
         )
 
     return let(values, of)
+
+
+def totals_before(values: Column, chunk: int = 128) -> Column:
+    """For each number of an array the sum of those before it."""
+    return scan_before(values, 0, lambda a, x: a + x, chunk)
+
+
+def most_before(values: Column, least: int) -> Column:
+    """For each number of an array the greatest of those before it, at least ``least``."""
+    return scan_before(values, least, lambda a, x: F.greatest(a, x))

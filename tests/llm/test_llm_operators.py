@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -213,6 +214,60 @@ def test_trees_add_looser_forms_and_redaction_covers_both(spark):
     assert plain.text == "please call [PHONE] today or [PHONE] now" and plain.n_chars == len(plain.text)
 
 
+def test_spans_that_touch_exact_ones(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        exact = sorted((a, a + rng.randrange(1, 9)) for a in (rng.randrange(400) for _ in range(rng.randrange(8))))
+        cuts = sorted(rng.sample(range(400), 2 * rng.randrange(1, 160)))
+        rows.append((i, exact, list(zip(cuts[::2], cuts[1::2]))))
+    kind = "array<struct<start:bigint,end:bigint>>"
+    found = spark.createDataFrame(rows, f"id int, exact {kind}, spans {kind}").select("id", pii.touches(F.col("exact"), F.col("spans")).alias("t"))
+    for r in found.collect():
+        _, exact, spans = rows[r.id]
+        assert r.t == [any(a < d and c < b for c, d in exact) for a, b in spans]
+
+
+def test_judged_examples_that_were_held_back(spark, nothing):
+    """Made-up data in disturbed formats is found, look-alikes are not; without any document the trees are the same kind."""
+    judge = pii.fit(nothing)
+    least = F.get(F.array(*[F.lit(t) for t in judge.thresholds]), F.col("kind"))
+    taken = (judge.probability(F.col) >= least).cast("int").alias("taken")
+    held = pii.made_up_examples(spark).filter("fold = 0").select("kind", "label", taken)
+    for r in held.groupBy("kind").agg(
+        F.avg(F.when(F.col("label") == 1, F.col("taken"))).alias("recall"), F.avg(F.when(F.col("label") == 0, 1 - F.col("taken"))).alias("spared")
+    ).collect():
+        assert r.recall > 0.9 and r.spared > 0.9, r
+
+
+def test_secrets_and_disturbed_formats_are_added(spark):
+    rng = random.Random(6)
+    key = hashlib.sha1(b"x").hexdigest()
+    texts = [
+        f'{sentence(rng, 9)} token = "{key}" {sentence(rng, 4)}', "write to anna.lee (at) web7 (dot) org today", "plain words 2024-01-02 and more",
+        "host 10[.]2[.]3[.]4 is down, 10.2.3.4 is up", f"{sentence(rng, 60)}", "paid by visa: 4111.1111.1111.1111 yesterday",
+    ]
+    table = spark.createDataFrame([(i, t, 7, "x") for i, t in enumerate(texts)], "doc_id int, text string, `row` int, exact string")
+    found = {r.doc_id: r for r in pii.personal_data(table).collect()}
+    assert found[0].n_secret == 1 and found[0].spans == f"secret:{texts[0].index(key)}:{texts[0].index(key) + 40}"
+    assert [found[i].n_added for i in range(6)] == [1, 1, 0, 1, 0, 1]
+    assert found[3].n_ip == 1 and len(found[3].spans.split(",")) == 2
+    plain = {r.doc_id: r for r in pii.redacted(table).collect()}
+    assert [r for r in plain[0].asDict()] == ["doc_id", "text", "row", "exact"] and plain[0].row == 7
+    assert key not in plain[0].text and "[SECRET]" in plain[0].text and plain[4].text == texts[4]
+    assert plain[3].text == "host [IP] is down, [IP] is up" and plain[1].text == "write to [EMAIL] today"
+
+
+def test_long_texts_are_rewritten_in_proportion(spark):
+    rng = random.Random(1)
+    words = [f"u{i}@h{i % 97}.example.com" if rng.random() < 0.7 else "É word" for i in range(3000)]
+    table = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, "")], "doc_id int, text string")
+    start = time.monotonic()
+    plain = {r.doc_id: r.text for r in pii.redacted(table).collect()}
+    assert plain[1] == " ".join("[EMAIL]" if "@" in w else w for w in words) and plain[2] is None and plain[3] == ""
+    assert time.monotonic() - start < 180
+
+
 def test_host_counts_and_verdicts(spark, docs, rows):
     found = {}
     for r in host_rules.quality_by_host(docs).collect():
@@ -518,6 +573,17 @@ def test_recall_of_the_tuned_bands():
     assert pairs > 200 and met / pairs > 0.99
 
 
+def test_documents_with_clashing_columns(spark, rows):
+    names = ["_id", "_hash", "copies", "epoch", "row", "copy", "_host", "kept"]
+    odd = spark.createDataFrame([(r[0], r[1], r[2], r[3], *range(8)) for r in rows if r[0] is not None][:40], "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    items = spark.createDataFrame([("a", rows[0][1])], "item_id string, text string")
+    clean = decontaminate.drop_contaminated(odd, items)
+    assert clean.columns == odd.columns and 0 < clean.count() < odd.count()
+    mixed = mixing.take(odd, mixing.mixture(odd, levels(), weights()))
+    assert set(mixed.columns) == set(odd.columns) and mixed.count() > 0
+    assert mixed.select("copy", "row", "_id").distinct().collect() == [(5, 4, 0)]
+
+
 def test_empty_tables(nothing, spark):
     none = spark.createDataFrame([], ITEMS)
     for found in (
