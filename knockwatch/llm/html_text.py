@@ -3,6 +3,9 @@
 The first pass decides blocks by link density, length and stop-word density; what is
 marked as menu, form, advert and the like is out before. Blocks too short to tell then
 take the label of the nearest decided block.
+
+Running text has function words: a long block with hardly any is no article, unless it stands in
+an article or main element, or the whole page has none, being in a language the list lacks.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +22,10 @@ from pyspark.sql import functions as F
 LONG_WORDS = 25
 STOP_WORDS_AT_LEAST = 8
 STOP_DENSITY = 0.25
+#: A long block outside the main element is out below this share of function words; a page below it is in another language.
+LOW_STOP_DENSITY = 0.04
+#: A main element is a teaser when the other blocks have so many words, and so many times as many as it.
+TEASER_WORDS, TEASER_TIMES = 100, 4
 MAX_LINK_DENSITY = 0.33
 
 # Function words of English, German, French and Spanish.
@@ -82,8 +90,9 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
     pieces: list[str] = []
     linked = 0
     stack: list[tuple[str, bool]] = []  # open block elements, and whether they are out
+    is_open: Counter[str] = Counter()  # how many of each name are open
     out = main = 0
-    in_link = False
+    link: int | None = None  # how many elements were open where the open link began: it ends with the innermost of them
 
     def close() -> None:
         nonlocal linked
@@ -94,17 +103,25 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
         linked = 0
 
     def pop() -> None:
-        nonlocal out, main
+        nonlocal out, main, link
         name, was_out = stack.pop()
+        is_open[name] -= 1
         out -= was_out
         main -= name in MAIN
+        if link is not None and len(stack) < link:
+            link = None
+
+    def pop_to(name: str) -> None:
+        while stack[-1][0] != name:
+            pop()
+        pop()
 
     def text(raw: str) -> None:
         nonlocal linked
         if raw:
             plain = html.unescape(raw)
             pieces.append(plain)
-            if in_link:
+            if link is not None:
                 linked += len("".join(plain.split()))
 
     at = 0
@@ -116,73 +133,88 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
             continue
         closing = bool(tag[2] or tag[5])
         if name == "a":
-            in_link = not closing
+            link = None if closing else len(stack)
         elif name == "br":
             pieces.append(" ")
         elif name in BLOCK or (not closing and name not in VOID and _marked(tag[4] or tag[7] or "")):
             close()
             if closing:
-                if any(open_name == name for open_name, _ in stack):
-                    while stack[-1][0] != name:
-                        pop()
-                    pop()
+                if is_open[name]:
+                    pop_to(name)
             elif name not in VOID:
                 if name in CLOSES_ITSELF and stack and stack[-1][0] == name:
                     pop()
                 attributes = tag[4] or tag[7] or ""
                 gone = name in DROPPED or _marked(attributes) or (name in HEADS and not main)
                 stack.append((name, gone))
+                is_open[name] += 1
                 out += gone
                 main += name in MAIN
-        elif closing and any(open_name == name for open_name, _ in stack):
+        elif closing and is_open[name]:
             close()
-            while stack[-1][0] != name:
-                pop()
-            pop()
+            pop_to(name)
     text(page[at:])
     close()
     return found
 
 
-def _first_label(text: str, linked: int) -> bool | None:
+def _words(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
+
+
+def _stop_words(words: list[str]) -> int:
+    return sum(w in STOP_WORDS for w in words)
+
+
+def first_label(text: str, linked: int, needs_stop_words: bool) -> bool | None:
     """True: article; False: not; None: too short or too odd to tell."""
     if linked > MAX_LINK_DENSITY * len("".join(text.split())):
         return False
-    words = _WORD.findall(text.lower())
+    words = _words(text)
+    stop = _stop_words(words)
     if len(words) >= LONG_WORDS:
-        return True
-    stop = sum(w in STOP_WORDS for w in words)
+        return not needs_stop_words or stop >= LOW_STOP_DENSITY * len(words)
     if len(words) >= STOP_WORDS_AT_LEAST and stop >= STOP_DENSITY * len(words):
         return True
     return None
 
 
-def main_text(page: str | None) -> str:
-    found = blocks(page or "")
-    if any(inside for _, _, inside in found):
-        found = [b for b in found if b[2]]
-    labels = [_first_label(text, linked) for text, linked, _ in found]
+def inherited(labels: list[bool | None]) -> list[bool]:
+    """Undecided labels become that of the nearest decided one; at equal distance, and where none is decided, True."""
     decided = [i for i, label in enumerate(labels) if label is not None]
-    kept = []
-    for i, (text, _, _) in enumerate(found):
-        label = labels[i]
-        if label is None and decided:
+    out = []
+    for i, label in enumerate(labels):
+        if label is None:
             after = bisect(decided, i)
             around = decided[max(0, after - 1) : after + 1]
-            near = min(abs(i - d) for d in around)
-            label = any(labels[d] for d in around if abs(i - d) == near)
-        if label is not False:
-            kept.append(text)
-    return "\n\n".join(kept)
+            near = min((abs(i - d) for d in around), default=0)
+            label = any(labels[d] for d in around if abs(i - d) == near) if around else True
+        out.append(label)
+    return out
+
+
+def main_text(page: str | None) -> str:
+    found = blocks(page or "")
+    sizes = [len(_words(text)) for text, _, _ in found]
+    own = sum(n for n, b in zip(sizes, found) if b[2])
+    rest = sum(sizes) - own
+    if any(b[2] for b in found) and not (rest >= TEASER_WORDS and rest >= TEASER_TIMES * own):
+        found = [b for b in found if b[2]]
+    every = [w for text, _, _ in found for w in _words(text)]
+    known = _stop_words(every) >= LOW_STOP_DENSITY * len(every)
+    labels = inherited([first_label(text, linked, known and not inside) for text, linked, inside in found])
+    return "\n\n".join(text for (text, _, _), label in zip(found, labels) if label)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
-    With an ``article`` or ``main`` element only its blocks count. A block takes the label of
-    the nearest decided block; at equal distance article wins, and where nothing is decided
-    every block stays. A null or empty page has the empty text; broken or cut mark-up
-    ends where the page ends; repeated rows come back as often; an empty table gives no rows.
+    With an ``article`` or ``main`` element only its blocks count, unless it is a mere teaser. A
+    block takes the label of the nearest decided block; at equal distance article wins, and
+    where nothing is decided every block stays. A null or empty page has the empty text;
+    broken or cut mark-up ends where the page ends, a link left open with the element it is in;
+    a page of any length is read whole, in proportion to its length; repeated rows come back
+    as often; an empty table gives no rows. Other columns are not looked at.
     """
 
     @F.pandas_udf("string")

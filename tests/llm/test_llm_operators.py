@@ -389,6 +389,46 @@ def test_main_text(spark):
     assert counted(html_text.extract_main_text(pages), "page_id", "n_chars") == sorted([repr((1, len(whole))), "(2, 0)", "(2, 0)"])
 
 
+def labels_by_hand(labels):
+    """Every undecided block asks all decided ones."""
+    out = []
+    for i, label in enumerate(labels):
+        decided = [(abs(i - j), not other) for j, other in enumerate(labels) if other is not None]
+        out.append(label if label is not None else not min(decided)[1] if decided else True)
+    return out
+
+
+def test_blocks_inherit_from_the_nearest_decided(spark):
+    rng = random.Random(2)
+    for _ in range(400):
+        labels = [rng.choice([True, False, None, None]) for _ in range(rng.randrange(12))]
+        assert html_text.inherited(labels) == labels_by_hand(labels)
+    prose = "The man in the street went to the house of the king and it was good for him and for all of them in the end."
+    assert len(html_text._words(prose)) >= html_text.LONG_WORDS
+    advert = " ".join(f"buy{i} cheap{i}" for i in range(30))
+    page = f"<div>{prose}</div><div>short one</div><p>{advert}</p><p>tiny</p><p>{advert}</p>"
+    assert html_text.main_text(page) == f"{prose}\n\nshort one"
+    # no function words on the whole page: another language, where they tell nothing
+    assert html_text.main_text(f"<p>{advert}</p><p>tiny</p>") == f"{advert}\n\ntiny"
+    # in the article element they are the article
+    assert html_text.main_text(f"<p>{prose}</p><article><p>{prose}</p><p>{advert}</p></article>") == f"{prose}\n\n{advert}"
+    assert html_text.main_text(f"<article>see</article><p>{prose * 6}</p>".replace(".", ". ")).startswith("see\n\nThe man")
+
+
+def test_a_link_left_open_ends_with_its_element():
+    prose = "The man in the street went to the house of the king and it was good for him and for all of them in the end."
+    assert html_text.main_text(f"<div><p><a href=x>menu</p></div><p>{prose}</p>") == prose
+    assert html_text.main_text(f"<p><a href=x>{prose}</a></p>") == ""
+
+
+def test_deep_and_broken_pages_take_time_in_proportion():
+    start = time.monotonic()
+    html_text.main_text("<div>" * 60_000 + "x" + "</p>" * 60_000)
+    html_text.main_text("<p>" * 60_000 + "</section>" * 60_000)
+    html_text.main_text("<a href=x>" * 60_000 + "<br>" * 60_000)
+    assert time.monotonic() - start < 20
+
+
 def labelled(spark, good, bad, n=400):
     rng = random.Random(9)
     rows = [(i, (bad if i % 3 == 0 else good)(rng), "en", "s", 0, "", "", 0) for i in range(n)]
