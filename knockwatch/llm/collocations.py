@@ -161,7 +161,7 @@ def frequent_ngrams(filters: DataFrame, id_bits: int, min_count: int, longest: i
             kept = entries.counts >= min_count
             columns = qf.unpack(*qf.restore(entries.left[kept], entries.right[kept], width), longest, id_bits, width)
             ids = np.stack(columns, axis=1) if kept.any() else np.zeros((0, longest), dtype=np.int64)
-            return pd.DataFrame({"ids": [row[row > 0] for row in ids], "f": entries.counts[kept]})
+            return pd.DataFrame({"ids": pd.Series([row[row > 0] for row in ids], dtype=object), "f": entries.counts[kept]})
 
         for table in tables:
             for number, data in zip(table["range"], table["filter"]):

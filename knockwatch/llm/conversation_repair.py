@@ -38,6 +38,9 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 ENDS = (START, ASSISTANT)
 #: The state after each state and kind of turn.
 AFTER = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (ASSISTANT, "u"): USER, (USER, "a"): ASSISTANT}
+#: What it costs at most more to go on from the state after an assistant turn than from these: at a system turn kept
+#: later, deleting it. A survivor that lags by more is dropped: it can win no more, and would keep all edits open.
+BEHIND = {START: DELETE_COST, SYSTEM: 0}
 #: The role that a changed or inserted turn must have in each state.
 WANTED = {START: "user", SYSTEM: "user", ASSISTANT: "user", USER: "assistant"}
 
@@ -139,6 +142,11 @@ class Repair:
                 state = AFTER[state, WANTED[state][0]]
                 found.setdefault(state, []).append((survivor.cost + n * INSERT_COST, origin, n * INSERT))
         self._advance(found)
+        for state, behind in BEHIND.items():
+            if state in self.alive and self.alive[state].cost > self.alive[ASSISTANT].cost + behind:
+                node = self.alive.pop(state).node
+                node.held -= 1
+                _release(node)
 
     def add(self, initial: str, must_go: bool, truncated: bool) -> list[str]:
         """One more turn; returns the edits that are settled now."""
