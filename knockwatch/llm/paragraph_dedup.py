@@ -254,7 +254,7 @@ def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> Data
     rest = cut(open_.join(words, "digest"), "zstd")
     rare = cut(rare_shingles(rest.select("digest", "words"), similarity))
     links = links.unionByName(cut(links_of_blocks(rare, rest, similarity)))
-    return components(links).select(F.col("node").alias("digest"), F.col("component").alias("cluster"))
+    return components(links, every_step=False).select(F.col("node").alias("digest"), F.col("component").alias("cluster"))
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -72,7 +72,9 @@ def test_components_of_a_long_chain_a_star_and_a_loop(spark):
     chain = [(i, i + 1) for i in range(300)]
     star = [(1000, i) for i in range(1001, 1400)]
     links = spark.createDataFrame(chain[::-1] + star + [(2000, 2000), (3, 2), (None, 5)], "a long, b long")
-    found = {r.node: r.component for r in components(links).collect()}
+    for every_step in (False, True):
+        found = {r.node: r.component for r in components(links, every_step).collect()}
+        assert len(found) == 301 + 400
     assert found == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1400)}
     assert components(links.limit(0)).collect() == []
 
