@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples.
 
 The examples (a bounded sample, both classes drawn alike) are TF-IDF vectors over all their
-words, in an inverted index whose postings lie in blocks of similar examples. Words that
+words, a word weighing the more the surer it tells the classes apart (likelihood ratio), in an
+inverted index whose postings lie in blocks of similar examples. Words that
 very many examples have are kept as full columns, so their part of every cosine is one
 matrix product for a batch of texts; it also gives, for each class, a cosine that the nearest
 ``NEIGHBOURS`` surely reach. With it and the largest weight of each other word in each block, a
@@ -30,6 +31,8 @@ FOLDS, HELD_OUT = 3, 1
 SAMPLE_ROWS = 8000
 #: Weight of a word: (1 + log count) times this power of its log inverse document frequency.
 IDF_POWER = 1.5
+#: What the likelihood ratio of a word that says nothing of the classes counts as, so that no word is without weight.
+NO_EVIDENCE = 0.1
 #: Words that at least this share of the examples have are full columns.
 FULL_SHARE = 1 / 16
 NEIGHBOURS = 100
@@ -62,7 +65,7 @@ class Index:
     ids: np.ndarray
     toxic: int  # how many are toxic
     terms: np.ndarray  # sorted word hashes
-    idf: np.ndarray
+    idf: np.ndarray  # of each term: its weight
     column: np.ndarray  # of each term: its full column, or -1
     full: np.ndarray  # (example, full column) weights
     edges: np.ndarray  # where each block begins, and the end
@@ -191,8 +194,21 @@ def _by_likeness(full: np.ndarray) -> np.ndarray:
     return np.argsort((full @ seeds.T).argmax(axis=1), kind="stable")
 
 
-def build(ids: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, k: int = NEIGHBOURS) -> Index:
-    """Index the examples, given as word hashes and counts, and fit the curve."""
+def evidence_of_words(met: np.ndarray, met_toxic: np.ndarray, toxic: int, n: int) -> np.ndarray:
+    """The likelihood ratio (G) of each word, which ``met`` of ``n`` examples have, ``met_toxic`` of the ``toxic`` ones."""
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    other, without = n - toxic, n - met
+    total = part(met_toxic, met * toxic / n) + part(met - met_toxic, met * other / n)
+    total += part(toxic - met_toxic, without * toxic / n) + part(other - met + met_toxic, without * other / n)
+    return np.maximum(2 * total, 0.0)
+
+
+def build(ids: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, k: int = NEIGHBOURS, by_label: bool = False) -> Index:
+    """Index the examples, given as word hashes and counts, and fit the curve. With ``by_label`` a word's weight is
+    its TF-IDF weight times the root of its likelihood ratio, where there are examples of both classes."""
     n, labels = len(texts), np.asarray(labels, dtype=bool)
     none = np.zeros(0, dtype=np.int64)
     if not n:
@@ -200,6 +216,10 @@ def build(ids: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], labels: n
         return Index(ids, 0, none.astype(np.uint64), blank, none, np.zeros((0, 0)), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64), none, none, none, blank, none, blank, k)
     terms, met = np.unique(np.concatenate([w for w, _ in texts]), return_counts=True)
     idf = np.log((n + 1) / met) ** IDF_POWER
+    if by_label and 0 < labels.sum() < n:
+        toxic_words = np.concatenate([w for (w, _), yes in zip(texts, labels) if yes])
+        met_toxic = np.bincount(np.searchsorted(terms, toxic_words), minlength=len(terms))
+        idf = idf * np.sqrt(NO_EVIDENCE + evidence_of_words(met, met_toxic, int(labels.sum()), n))
     common = np.flatnonzero(met >= max(2, FULL_SHARE * n))
     column = np.full(len(terms), -1)
     column[common] = np.arange(len(common))
@@ -273,7 +293,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
         return found, counts[i].values.to_numpy(zero_copy_only=False)
 
     order = sorted(range(len(ids)), key=lambda i: ids[i])
-    return build(ids[order], [row(i) for i in order], table["label"].to_numpy()[order] == 1)
+    return build(ids[order], [row(i) for i in order], table["label"].to_numpy()[order] == 1, by_label=True)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -> DataFrame:

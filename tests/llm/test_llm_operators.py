@@ -503,6 +503,23 @@ def test_toxic_words_are_learned(spark, docs, nothing):
     assert toxicity.toxicity_scores(nothing, labels).collect() == []
 
 
+def test_few_telling_words_among_many_that_say_nothing():
+    """A text is judged by words that go with the label, also where hundreds of rarer ones are in it."""
+    rng = random.Random(8)
+
+    def text(toxic):
+        words = [f"w{int(rng.paretovariate(0.25)) % 20_000}" for _ in range(300)]
+        return " ".join([*words, *(rng.sample(["vile", "foul", "rude", "mean", "crude"], 2) if toxic else [])])
+
+    labels = np.arange(400) % 2 == 0
+    index = toxicity.build(np.arange(400), [toxicity.word_counts(text(y)) for y in labels], labels, k=50, by_label=True)
+    scores, _ = index.judge([text(i % 2 == 0) for i in range(200)])
+    assert (scores[::2] >= toxicity.THRESHOLD).mean() > 0.95 and (scores[1::2] < toxicity.THRESHOLD).mean() > 0.85
+    met, met_toxic = np.array([10, 10, 20]), np.array([10, 5, 20])
+    ratio = toxicity.evidence_of_words(met, met_toxic, 20, 40)
+    assert np.allclose(ratio[[0, 1, 2]], [2 * (10 * math.log(2) + 10 * math.log(10 / 15) + 20 * math.log(20 / 15)), 0, 80 * math.log(2)])
+
+
 def test_text_ids_and_a_bounded_sample(spark):
     table, labels = labelled(spark, lambda r: sentence(r, 30), lambda r: sentence(r, 25) + " vile foul rude")
     named = [t.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))) for t in (table, labels)]
