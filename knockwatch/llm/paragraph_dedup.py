@@ -12,6 +12,9 @@
    such a shingle in common are verified in blocks of a bounded size, spread over the tasks;
    those already linked are not compared again, and only links come out.
 5. Clusters are the components of all links; the first occurrence of a cluster stays.
+6. Documents are linked by the paragraphs of a cluster, those of a wanted length, and by as
+   many consecutive words in common wherever their lines break (``shared_runs``, MinHash over
+   sliding passages); ``component_id`` is the component of these links.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from knockwatch.llm import textvec
 from knockwatch.llm.components import components
+from knockwatch.llm.shared_runs import run_links, to_least
 from knockwatch.llm.store import cut
 
 SHINGLE = 5
@@ -257,53 +261,75 @@ def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> Data
     return components(links, every_step=False).select(F.col("node").alias("digest"), F.col("component").alias("cluster"))
 
 
-def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Every occurrence of a paragraph that another one repeats: ``doc_id, place, start, end, n_words, first_doc, removed``.
-
-    ``first_doc`` has the first occurrence of the cluster (by ``doc_id``, then place), which is not removed.
-    """
+def _occurrences(docs: DataFrame, similarity: float) -> DataFrame:
+    """Every occurrence of a paragraph that another one repeats: ``doc_id, place, start, end, n_words, cluster, first``."""
     found = cut(paragraphs(docs, similarity), "zstd")
     clusters = cut(paragraph_clusters(found, similarity))
     places = found.select("doc_id", "place", "start", "end", "n_words", "digest").distinct()
     each = places.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     each = cut(each.join(clusters, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest")))
     firsts = each.groupBy("cluster").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
-    repeated = cut(each.select("digest", "cluster").join(firsts.select("cluster", "first"), "cluster").select("digest", "first"))
-    return places.join(repeated, "digest").select(
+    repeated = cut(each.select("digest", "cluster").join(firsts.select("cluster", "first"), "cluster"))
+    return places.join(repeated, "digest").drop("digest")
+
+
+def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Every occurrence of a paragraph that another one repeats: ``doc_id, place, start, end, n_words, first_doc, removed``.
+
+    ``first_doc`` has the first occurrence of the cluster (by ``doc_id``, then place), which is not removed.
+    """
+    return _with_first(_occurrences(docs, similarity))
+
+
+def _with_first(occurrences: DataFrame) -> DataFrame:
+    return occurrences.select(
         "doc_id", "place", "start", "end", "n_words",
         F.col("first.doc_id").alias("first_doc"),
         (F.struct("doc_id", "place") != F.col("first")).alias("removed"),
     )
 
 
-def passage_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def document_components(docs: DataFrame, occurrences: DataFrame, passage_words: int | None = None) -> DataFrame:
+    """``doc_id, component_id`` of the documents that share a passage with another one: similar paragraphs (stored
+    ``occurrences``) or, with ``passage_words``, similar paragraphs of so many words each or so many words in a row."""
+    long = occurrences if passage_words is None else occurrences.filter(F.col("n_words") >= passage_words)
+    links = to_least(long.select("doc_id", "cluster"), "cluster")
+    if passage_words is not None:
+        links = links.unionByName(run_links(docs, passage_words))
+    return components(links, every_step=False).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+
+
+def passage_dedup(docs: DataFrame, similarity: float = SIMILARITY, passage_words: int | None = None) -> DataFrame:
     """``doc_id, n_repeated, n_removed, repeated_words, longest_repeated, component_id, repeated`` for every document.
 
     ``n_repeated`` counts its paragraphs that stand elsewhere too (or again), ``n_removed``
     those of them that go; ``repeated_words`` are the words of the former, ``longest_repeated``
-    those of the longest; ``component_id`` is the smallest ``doc_id`` that has the first
-    occurrence of any of them, its own where there is none; ``repeated`` lists them as
-    start:end:first_doc, in text order. A paragraph of fewer than five words has no shingle
-    and is left alone. Documents are told apart by ``doc_id`` (of any type that has an
+    those of the longest; ``component_id`` is the smallest ``doc_id`` reachable over documents
+    that share one of them, itself included; ``repeated`` lists them as start:end:first_doc,
+    in text order. With ``passage_words`` only longer passages join documents: similar
+    paragraphs of so many words each, or so many consecutive words in common, whatever lines
+    they stand in (words end at white space, A-Z lower-cased; a passage twice in one document
+    joins nothing). A paragraph of fewer than five words has no shingle and is left alone. Documents are told apart by ``doc_id`` (of any type that has an
     order): equal repeated rows are one; of rows that share an id but not a text, places in
     all texts count. Rows without ``doc_id`` are one document without paragraphs. A null text
     has none; a text or line of any length is read whole. Of equal first places none differ.
     An empty table gives no rows; other columns are not looked at.
     """
-    each = repeated_paragraphs(docs, similarity).groupBy("doc_id").agg(
+    occurrences = cut(_occurrences(docs, similarity))
+    joined = document_components(docs, occurrences, passage_words)
+    each = _with_first(occurrences).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_repeated"),
         F.count_if("removed").alias("n_removed"),
         F.sum("n_words").alias("repeated_words"),
         F.max("n_words").cast("long").alias("longest_repeated"),
-        F.min("first_doc").alias("first_doc"),
         F.array_sort(F.collect_list(F.struct("start", "end", "first_doc"))).alias("all"),
     )
     ids = docs.select("doc_id").distinct()
     text: Column = F.array_join(F.transform("all", lambda s: F.concat_ws(":", s["start"], s["end"], s["first_doc"])), ",")
     counts = ["n_repeated", "n_removed", "repeated_words", "longest_repeated"]
-    return ids.join(each, "doc_id", "left").select(
+    return ids.join(each, "doc_id", "left").join(joined, "doc_id", "left").select(
         "doc_id",
         *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
-        F.coalesce(F.least("first_doc", "doc_id"), "doc_id").alias("component_id"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(text, F.lit("")).alias("repeated"),
     )

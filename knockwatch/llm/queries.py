@@ -33,6 +33,8 @@ WEIGHTS = {
 OTHER_WEIGHT = 1
 #: Every vector whose id this divides is a query.
 QUERY_EVERY = 20
+#: Passages of over 50 words make documents one component.
+PASSAGE_WORDS = 51
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +95,7 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passage_dedup(_documents(spark, sf_dir))
+    return passage_dedup(_documents(spark, sf_dir), passage_words=PASSAGE_WORDS)
 
 
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

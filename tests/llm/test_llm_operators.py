@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from knockwatch.llm import (
-    decontaminate, host_rules, html_text, license_scan, mixing, paragraph_dedup, pii, quality_model, simhash, toxicity,
+    decontaminate, host_rules, html_text, license_scan, mixing, paragraph_dedup, pii, quality_model, shared_runs, simhash, toxicity,
 )
 from knockwatch.llm.components import components
 from knockwatch.llm.queries import levels, weights
@@ -589,6 +589,53 @@ def test_repeated_passages(docs, rows, similarity):
     assert {r.doc_id: tuple(r) for r in each.collect()} == reports
 
 
+def runs_by_hand(rows, size):
+    """Components of documents with ``size`` words in a row in common."""
+    group = {r[0]: r[0] for r in rows if r[0] is not None}
+    windows = {}
+    for doc, text, *_ in rows:
+        words = (text or "").translate(A_TO_Z).encode().split()
+        for i in range(len(words) - size + 1 if doc is not None else 0):
+            other = group[windows.setdefault(tuple(words[i : i + size]), doc)]
+            low, high = sorted((other, group[doc]))
+            group = {d: low if g == high else g for d, g in group.items()}
+    return group
+
+
+@pytest.mark.parametrize("size", [1, 7, 51])
+def test_documents_that_share_words_in_a_row(spark, size):
+    rng = random.Random(size)
+    pool = [sentence(rng, n) for n in (size, size + 1, size + 40, 3 * size, max(1, size - 1), 200)]
+    cuts = [sentence(rng, size // 2) + " " + " ".join(rng.choice(pool).split()[rng.randrange(3) :]) + " " + sentence(rng, size // 2) for _ in range(60)]
+    texts = [re.sub(" ", lambda m: rng.choice([" ", " ", "\n", "\t", "\r\n"]), t) for t in cuts] + ["", None, "a " * 300, "A\n" * 301, cuts[0] * 2]
+    rows = [(f"d{i:03}", t) for i, t in enumerate(texts)] + [("d001", pool[0]), (None, pool[1])]
+    table = spark.createDataFrame(rows, "doc_id string, text string").repartition(7)
+    found = {r.node: r.component for r in components(shared_runs.run_links(table, size)).collect()}
+    want = runs_by_hand(rows, size)
+    assert {d: found.get(d, d) for d in want} == want
+    assert len(set(want.values())) < len(want)
+    assert shared_runs.run_links(table.limit(0), size).collect() == []
+
+
+def test_long_passages_join_documents_whatever_their_lines(spark):
+    """Short repeated lines join nothing, long passages do where lines break elsewhere, and components are transitive."""
+    rng = random.Random(12)
+    short, long = sentence(rng, 12), sentence(rng, 60).split()
+    near = list(long)
+    near[30] = "changed"
+    joined = [
+        " ".join(long), "\n".join(" ".join(long[i : i + 13]) for i in range(0, 60, 13)), " ".join(near),
+        f"{sentence(rng, 20)} {' '.join(long[:51])} {sentence(rng, 20)}", f"{' '.join(long[9:])}\n{sentence(rng, 70)}",
+    ]
+    alone = [sentence(rng, 30) + "\n" + short, sentence(rng, 9) + " " + " ".join(long[:50]) + " " + sentence(rng, 9), " ".join(sentence(rng, 60) for _ in range(2))]
+    alone += [alone[2][:200] + "\n" + short, f"{short}\n" * 9]
+    last = joined[4].split("\n")[1]
+    rows = list(enumerate(alone[:2] + joined + alone[2:] + [last]))
+    found = {r.doc_id: r for r in paragraph_dedup.passage_dedup(spark.createDataFrame(rows, "doc_id long, text string"), passage_words=51).collect()}
+    assert [found[i].component_id for i in range(11)] == [0, 1, 2, 2, 2, 2, 2, 7, 8, 9, 2]
+    assert found[0].n_repeated == 1 and found[9].n_repeated == 9
+
+
 def family(rng, size):
     """Paragraphs on one template: each is like some others, few are like the first."""
     common = sentence(rng, 30).split()
