@@ -23,6 +23,8 @@ from knockwatch.llm.store import cut
 
 #: Bytes of texts that are hashed together.
 BYTES_AT_ONCE = 1 << 22
+#: Rows of marks or documents that may be broadcast to find theirs; beyond so many, both sides are shuffled.
+BROADCAST_ROWS = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,17 +113,27 @@ def passages_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             taken = np.isin(stretch, asked)
             lengths = np.diff(np.append(first, len(digests)))
             passage = digests[np.repeat(taken, lengths)]
-            doc = [ids[i] for i in np.repeat(of[taken], lengths[taken])]
-            mark = np.repeat(mark[taken], lengths[taken])
-            yield pd.DataFrame({"doc_id": doc, "mark": mark.view(np.int64), "passage": passage.view(np.int64)})
+            of, mark = np.repeat(of[taken], lengths[taken]), np.repeat(mark[taken], lengths[taken])
+            order = np.lexsort((passage, of))
+            of, mark, passage = of[order], mark[order], passage[order]
+            other = np.ones(len(of), dtype=bool)
+            other[1:] = (of[1:] != of[:-1]) | (passage[1:] != passage[:-1])
+            doc = [ids[i] for i in of[other]]
+            yield pd.DataFrame({"doc_id": doc, "mark": mark[other].view(np.int64), "passage": passage[other].view(np.int64)})
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    texts = docs.select("doc_id", "text").join(_known_small(wanted), "doc_id")
     return texts.mapInPandas(found, f"doc_id {kind}, mark long, passage long")
 
 
+def _known_small(stored: DataFrame) -> DataFrame:
+    """A stored table, sent to every task where it is small, so that what it is joined with need not move."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def to_least(held: DataFrame, *keys: str) -> DataFrame:
     """Links ``a, b`` from each ``doc_id`` to the least one that has the same ``keys``."""
-    least = held.groupBy(*keys).agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last")).filter("b < last").drop("last")
+    least = held.groupBy(*keys).agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last"))
+    least = _known_small(cut(least.filter("b < last").drop("last")))
     return held.join(least, [*keys]).filter("doc_id > b").select(F.col("doc_id").alias("a"), "b").distinct()
 
 
@@ -131,10 +143,10 @@ def run_links(docs: DataFrame, size: int) -> DataFrame:
     ``doc_id`` take no part, and rows that share one are one document."""
     every = cut(marked_stretches(docs, size))
     crowded = cut(every.filter("new").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
-    held = cut(every.drop("new").join(crowded, "mark"))
+    held = cut(every.drop("new").join(_known_small(crowded), "mark"))
     whole = cut(to_least(held, "mark", "stretch"))
     mixed = held.groupBy("mark").agg(F.min("stretch").alias("low"), F.max("stretch").alias("high")).filter("low < high").select("mark")
     one_each = held.groupBy("mark", "stretch").agg(F.min("doc_id").alias("doc_id"))
     wanted = cut(one_each.join(mixed, "mark").groupBy("doc_id").agg(F.collect_set("stretch").alias("stretches")))
-    passages = cut(passages_of(docs, wanted, size).distinct())
+    passages = cut(passages_of(docs, wanted, size))
     return whole.unionByName(cut(to_least(passages, "mark", "passage")))
