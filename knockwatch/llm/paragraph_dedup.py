@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from knockwatch.llm import textvec
 from knockwatch.llm.components import components
+from knockwatch.llm.lookups import found_by
 from knockwatch.llm.shared_runs import run_links, to_least
 from knockwatch.llm.store import cut
 
@@ -36,8 +37,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.999
 MOST_HASHES = 16
-#: Digests (16 bytes each) that may be broadcast to find their words; beyond so many, words and digests are shuffled.
-BROADCAST_DIGESTS = 400_000
 #: Words whose signatures are computed together, and paragraphs verified together.
 WORDS_AT_ONCE, BLOCK = 1 << 18, 1024
 #: Digests a task remembers, to keep the words of repeated paragraphs once; forgetting only costs space.
@@ -159,8 +158,9 @@ def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFram
 
 
 def rare_shingles(words: DataFrame, similarity: float) -> DataFrame:
-    """``digest, shingle`` for the rarest shingles of each paragraph (``digest``, ``words``), as many as two alike
-    paragraphs cannot both be without. Rarity is that among these paragraphs; hashes break ties."""
+    """``id, shingle`` of the rarest shingles of each paragraph (``id``, ``words``), as many as two alike paragraphs
+    cannot both be without, save those no other paragraph has: they meet nothing, so they are counted and not moved.
+    Rarity is that among these paragraphs; hashes break ties."""
 
     @F.pandas_udf("array<long>")
     def hashed(texts: pd.Series) -> pd.Series:
@@ -169,21 +169,22 @@ def rare_shingles(words: DataFrame, similarity: float) -> DataFrame:
         hashes, starts = shingle_hashes([t.encode("utf-8", "surrogatepass") for t in texts])
         return pd.Series([np.unique(h).view(np.int64) for h in np.split(hashes, starts[1:])])
 
-    every = cut(words.select("digest", hashed("words").alias("all")))
-    each = every.select("digest", F.size("all").alias("size"), F.explode("all").alias("shingle"))
-    met = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"))
-    ranked = each.join(met, "shingle").groupBy("digest").agg(
-        F.array_sort(F.collect_list(F.struct("met", "shingle"))).alias("all"), F.first("size").alias("size")
+    every = cut(words.select("id", hashed("words").alias("all")))
+    each = every.select("id", F.size("all").alias("size"), F.explode("all").alias("shingle"))
+    met = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    own = Window.partitionBy("id")
+    shared = each.join(met, "shingle").select(
+        "id", "shingle", "size", F.count(F.lit(1)).over(own).alias("shared"), F.row_number().over(own.orderBy("met", "shingle")).alias("rank")
     )
     enough = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9).cast("int") + 1
-    return ranked.select("digest", F.explode(F.slice("all", F.lit(1), enough)).alias("s")).select("digest", "s.shingle")
+    return shared.filter(F.col("rank") + F.col("size") - F.col("shared") <= enough).select("id", "shingle")
 
 
 def links_of_blocks(rare: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Links ``a, b`` between similar paragraphs (``digest, cluster, words``) of different clusters that share one of
+    """Links ``a, b`` between similar paragraphs (``id, digest, cluster, words``) of different clusters that share one of
     their ``rare_shingles``. Words are joined only where clusters meet. A shingle with many paragraphs is cut into
     blocks by digest, and every two blocks meet once."""
-    known = rare.join(lines.select("digest", "cluster"), "digest")
+    known = rare.join(lines.select("id", "digest", "cluster"), "id").drop("id")
     sizes = known.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("cluster").alias("low"), F.max("cluster").alias("high"))
     sizes = sizes.filter("low <> high").select("shingle", "n")
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -240,14 +241,18 @@ def _links(rows: list[tuple], two_blocks: bool, similarity: float) -> list[tuple
 
 def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Stored ``paragraphs`` → ``digest, cluster`` for those that are similar to another, different one."""
-    some = found.filter("words is not null")
+    some = found.filter("words is not null").withColumn("key", F.xxhash64("digest"))
     bucket = Window.partitionBy("band")
-    banded = some.select("digest", F.explode("bands").alias("band"))
-    crowded = banded.select("band", "digest", F.min("digest").over(bucket).alias("leader"), F.max("digest").over(bucket).alias("last"))
-    members = cut(crowded.filter("leader <> last").select("band", "digest", "leader").distinct())
-    digests = cut(members.select("digest").distinct())
-    wanted = F.broadcast(digests) if digests.count() <= BROADCAST_DIGESTS else digests
-    words = cut(some.select("digest", "words").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "zstd")
+    # the one large shuffle: half a digest stands for the paragraph, and for no more than its being looked up
+    banded = some.select("key", F.explode("bands").alias("band"))
+    crowded = banded.select("band", "key", F.min("key").over(bucket).alias("low"), F.max("key").over(bucket).alias("high"))
+    met = cut(crowded.filter("low <> high").select("band", "key").distinct())
+    keys = cut(met.select("key").distinct())
+    words = cut(found_by(some.select("key", "digest", "words"), keys, "key").dropDuplicates(["digest"]), "zstd")
+    named = met.join(words.select("key", "digest"), "key").select("band", "digest")
+    led = named.select("band", "digest", F.min("digest").over(bucket).alias("leader"), F.max("digest").over(bucket).alias("last"))
+    members = cut(led.filter("leader <> last").select("band", "digest", "leader"))
+    words = words.drop("key")
     to_leader = members.filter("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b"))
     links = _verified(to_leader.distinct(), words, similarity)
     # what did not link to the leader of its bucket may link to others there; the least leader is a first label
@@ -255,8 +260,8 @@ def paragraph_clusters(found: DataFrame, similarity: float = SIMILARITY) -> Data
     labels = links.groupBy(F.col("a").alias("digest")).agg(F.min("b").alias("cluster"))
     open_ = members.join(unlinked.select("band").distinct(), "band", "left_semi").select("digest").distinct()
     open_ = open_.join(labels, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest"))
-    rest = cut(open_.join(words, "digest"), "zstd")
-    rare = cut(rare_shingles(rest.select("digest", "words"), similarity))
+    rest = cut(open_.join(words, "digest").withColumn("id", F.monotonically_increasing_id()), "zstd")
+    rare = cut(rare_shingles(rest.select("id", "words"), similarity))
     links = links.unionByName(cut(links_of_blocks(rare, rest, similarity)))
     return components(links, every_step=False).select(F.col("node").alias("digest"), F.col("component").alias("cluster"))
 
@@ -265,12 +270,15 @@ def _occurrences(docs: DataFrame, similarity: float) -> DataFrame:
     """Every occurrence of a paragraph that another one repeats: ``doc_id, place, start, end, n_words, cluster, first``."""
     found = cut(paragraphs(docs, similarity), "zstd")
     clusters = cut(paragraph_clusters(found, similarity))
-    places = found.select("doc_id", "place", "start", "end", "n_words", "digest").distinct()
-    each = places.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    each = cut(each.join(clusters, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest")))
-    firsts = each.groupBy("cluster").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
-    repeated = cut(each.select("digest", "cluster").join(firsts.select("cluster", "first"), "cluster"))
-    return places.join(repeated, "digest").drop("digest")
+    # equal rows are one place, so a digest stands twice if its places differ
+    place = F.xxhash64("doc_id", "place", "start", "end")
+    keyed = found.select("doc_id", "place", "start", "end", "n_words", "digest", F.xxhash64("digest").alias("key"))
+    twice = keyed.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low <> high").select("key")
+    known = cut(twice.unionByName(clusters.select(F.xxhash64("digest").alias("key"))).distinct())
+    places = found_by(keyed, known, "key").drop("key").distinct()
+    named = cut(places.join(clusters, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest")).drop("digest"))
+    firsts = named.groupBy("cluster").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+    return named.join(firsts.filter("n > 1").drop("n"), "cluster")
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

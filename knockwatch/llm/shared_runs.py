@@ -5,8 +5,9 @@
    share. One row is kept for each stretch of neighbours with the same mark, with a digest
    of all its words.
 2. Marks of one document only are dropped. Documents with the same stretch are linked to its least one.
-3. Where stretches differ though their mark is the same, the passages of one document for each stretch are
-   written out and meet by their digests, so documents link exactly when they share ``size`` words in a row.
+3. Where stretches differ though their mark is the same, and their documents are not one component by now, the
+   passages of one document for each stretch are written out and meet by their digests. So the components are
+   those of all documents that share ``size`` words in a row.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.llm import textvec
+from knockwatch.llm.components import components
+from knockwatch.llm.lookups import BROADCAST_ROWS, found_by
 from knockwatch.llm.store import cut
 
 #: Bytes of texts that are hashed together.
 BYTES_AT_ONCE = 1 << 22
-#: Rows of marks or documents that may be broadcast to find theirs; beyond so many, both sides are shuffled.
-BROADCAST_ROWS = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,7 +96,7 @@ def marked_stretches(docs: DataFrame, size: int) -> DataFrame:
             new[1:] = (of[1:] != of[:-1]) | (mark[1:] != mark[:-1])
             other = new.copy()
             other[1:] |= stretch[1:] != stretch[:-1]
-            doc = [ids[i] for i in of[other]]
+            doc = pd.Series([ids[i] for i in of[other]], dtype=object)
             yield pd.DataFrame({"doc_id": doc, "mark": mark[other].view(np.int64), "stretch": stretch[other].view(np.int64), "new": new[other]})
 
     schema = f"doc_id {kind}, mark long, stretch long, new boolean"
@@ -118,22 +119,18 @@ def passages_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             of, mark, passage = of[order], mark[order], passage[order]
             other = np.ones(len(of), dtype=bool)
             other[1:] = (of[1:] != of[:-1]) | (passage[1:] != passage[:-1])
-            doc = [ids[i] for i in of[other]]
+            doc = pd.Series([ids[i] for i in of[other]], dtype=object)
             yield pd.DataFrame({"doc_id": doc, "mark": mark[other].view(np.int64), "passage": passage[other].view(np.int64)})
 
-    texts = docs.select("doc_id", "text").join(_known_small(wanted), "doc_id")
+    texts = found_by(docs.select("doc_id", "text"), wanted, "doc_id")
     return texts.mapInPandas(found, f"doc_id {kind}, mark long, passage long")
 
 
-def _known_small(stored: DataFrame) -> DataFrame:
-    """A stored table, sent to every task where it is small, so that what it is joined with need not move."""
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
-
-
 def to_least(held: DataFrame, *keys: str) -> DataFrame:
     """Links ``a, b`` from each ``doc_id`` to the least one that has the same ``keys``."""
     least = held.groupBy(*keys).agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last"))
-    least = _known_small(cut(least.filter("b < last").drop("last")))
+    least = cut(least.filter("b < last").drop("last"))
+    least = F.broadcast(least) if least.count() <= BROADCAST_ROWS else least
     return held.join(least, [*keys]).filter("doc_id > b").select(F.col("doc_id").alias("a"), "b").distinct()
 
 
@@ -143,10 +140,13 @@ def run_links(docs: DataFrame, size: int) -> DataFrame:
     ``doc_id`` take no part, and rows that share one are one document."""
     every = cut(marked_stretches(docs, size))
     crowded = cut(every.filter("new").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
-    held = cut(every.drop("new").join(_known_small(crowded), "mark"))
-    whole = cut(to_least(held, "mark", "stretch"))
-    mixed = held.groupBy("mark").agg(F.min("stretch").alias("low"), F.max("stretch").alias("high")).filter("low < high").select("mark")
+    held = cut(found_by(every.drop("new"), crowded, "mark"))
+    whole = components(cut(to_least(held, "mark", "stretch")), every_step=False)
+    whole = cut(whole.select(F.col("node").alias("a"), F.col("component").alias("b")))
     one_each = held.groupBy("mark", "stretch").agg(F.min("doc_id").alias("doc_id"))
-    wanted = cut(one_each.join(mixed, "mark").groupBy("doc_id").agg(F.collect_set("stretch").alias("stretches")))
+    labelled = one_each.join(whole.withColumnRenamed("a", "doc_id"), "doc_id", "left")
+    labelled = cut(labelled.select("mark", "stretch", "doc_id", F.coalesce("b", "doc_id").alias("label")))
+    apart = labelled.groupBy("mark").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("mark")
+    wanted = cut(labelled.join(apart, "mark").groupBy("doc_id").agg(F.collect_set("stretch").alias("stretches")))
     passages = cut(passages_of(docs, wanted, size))
     return whole.unionByName(cut(to_least(passages, "mark", "passage")))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from knockwatch.llm import (
-    decontaminate, host_rules, html_text, license_scan, mixing, paragraph_dedup, pii, quality_model, shared_runs, simhash, toxicity,
+    decontaminate, host_rules, html_text, license_scan, lookups, mixing, paragraph_dedup, pii, quality_model, shared_runs, simhash, toxicity,
 )
 from knockwatch.llm.components import components
 from knockwatch.llm.queries import levels, weights
@@ -617,6 +617,73 @@ def test_documents_that_share_words_in_a_row(spark, size):
     assert shared_runs.run_links(table.limit(0), size).collect() == []
 
 
+def test_passages_are_written_only_where_documents_are_still_apart(spark, monkeypatch):
+    """Documents with a long passage in common are joined by its middle; the ends of it need not be looked at again."""
+    rng = random.Random(8)
+    long, other = sentence(rng, 200), sentence(rng, 55)
+    rows = [(i, f"{sentence(rng, 20)} {long} {sentence(rng, 20)}") for i in range(12)]
+    written = []
+
+    def counting(docs, wanted, size, real=shared_runs.passages_of):
+        written.append(wanted.count())
+        return real(docs, wanted, size)
+
+    monkeypatch.setattr(shared_runs, "passages_of", counting)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.node, r.component) for r in components(shared_runs.run_links(table, 51)).collect()} == {(i, 0) for i in range(12)}
+    rows += [(20 + i, f"{sentence(rng, 20)} {other} {sentence(rng, 20)}") for i in range(4)] + [(30, f"{sentence(rng, 3)} {other} {long[:50]}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    want = runs_by_hand(rows, 51)
+    found = {r.node: r.component for r in components(shared_runs.run_links(table, 51)).collect()}
+    assert {d: found.get(d, d) for d in want} == want and len(set(want.values())) == 2
+    assert written[0] == 0 and written[1] <= 5
+
+
+def test_rare_shingles_are_those_that_others_share(spark):
+    rng = random.Random(4)
+    lines = family(rng, 20) + [sentence(rng, 15) for _ in range(30)]
+    table = spark.createDataFrame(list(enumerate(lines)), "id long, words string")
+    rare = {}
+    for r in paragraph_dedup.rare_shingles(table, 0.8).collect():
+        rare.setdefault(r.id, set()).add(r.shingle)
+    held = Counter(s for own in rare.values() for s in own)
+    every = {}
+    for i, line in enumerate(lines):
+        every[i] = set(paragraph_dedup.shingle_hashes([line.encode()])[0].view("int64").tolist())
+    share = Counter(s for own in every.values() for s in own)
+    assert held and all(share[s] > 1 for s in held) and not set(rare) & set(range(40, 70))
+    assert all(rare[i] <= every[i] for i in rare)
+    pairs = [(i, j) for i, j in itertools.combinations(range(70), 2) if paragraph_dedup.jaccard(lines[i], lines[j]) >= 0.8]
+    assert len(pairs) >= 20 and all(rare[i] & rare[j] for i, j in pairs)
+
+
+@pytest.mark.parametrize("most_bits", [1 << 15, 1 << 28])
+def test_keys_find_their_rows_without_moving_the_others(spark, monkeypatch, most_bits):
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookups, "MOST_BITS", most_bits)
+    table = spark.createDataFrame([(f"k{i % 9000}" if i % 9000 else None, i) for i in range(18000)], "key string, row long")
+    keys = spark.createDataFrame([(f"k{i}", -i) for i in range(3, 9000, 3)] + [("other", 1)], "key string, value long")
+    found = lookups.found_by(table, keys, "key")
+    assert sorted((r.key, r.row, r.value) for r in found.collect()) == sorted((f"k{i % 9000}", i, -(i % 9000)) for i in range(18000) if i % 9000 and i % 3 == 0)
+    passed = lookups.likely(table, keys, "key", 3000)
+    assert passed.columns == table.columns and 5998 <= passed.count() < (7500 if most_bits > 1 << 15 else 9000)
+
+
+def test_passages_with_every_join_shuffled(spark, monkeypatch):
+    for module in (lookups, shared_runs):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    rng = random.Random(3)
+    pool = [sentence(rng, n) for n in (6, 12, 60, 90)]
+    rows = [(f"d{i:02}", "\n".join([sentence(rng, 7), rng.choice(pool), sentence(rng, 20)])) for i in range(25)]
+    rows += [("d25", family(rng, 2)[0]), ("d26", None), rows[0], ("d01", pool[0])]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    want = passages_by_hand(rows, 0.8)
+    found = paragraph_dedup.repeated_paragraphs(docs)
+    assert counted(found, "doc_id", "place", "start", "first_doc") == sorted(repr((*k, a, f[0])) for k, (a, _, _, f) in want.items())
+    each = {r.doc_id: r.component_id for r in paragraph_dedup.passage_dedup(docs, passage_words=51).collect()}
+    assert each == runs_by_hand(rows, 51)
+
+
 def test_long_passages_join_documents_whatever_their_lines(spark):
     """Short repeated lines join nothing, long passages do where lines break elsewhere, and components are transitive."""
     rng = random.Random(12)
