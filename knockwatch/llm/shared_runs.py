@@ -5,9 +5,9 @@
    share. One row is kept for each stretch of neighbours with the same mark, with a digest
    of all its words.
 2. Marks of one document only are dropped. Documents with the same stretch are linked to its least one.
-3. Where stretches differ though their mark is the same, and their documents are not one component by now, the
-   passages of one document for each stretch are written out and meet by their digests. So the components are
-   those of all documents that share ``size`` words in a row.
+3. Where stretches differ though their mark is the same, and their documents are not linked to one document by
+   now, the passages of one document for each stretch are written out and meet by their digests. So the components
+   are those of all documents that share ``size`` words in a row.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwatch.llm import textvec
-from knockwatch.llm.components import components
 from knockwatch.llm.lookups import BROADCAST_ROWS, found_by
 from knockwatch.llm.store import cut
 
@@ -141,11 +140,11 @@ def run_links(docs: DataFrame, size: int) -> DataFrame:
     every = cut(marked_stretches(docs, size))
     crowded = cut(every.filter("new").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
     held = cut(found_by(every.drop("new"), crowded, "mark"))
-    whole = components(cut(to_least(held, "mark", "stretch")), every_step=False)
-    whole = cut(whole.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    whole = cut(to_least(held, "mark", "stretch"))
+    # documents linked to the same one need not meet again
+    linked = whole.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("b"))
     one_each = held.groupBy("mark", "stretch").agg(F.min("doc_id").alias("doc_id"))
-    labelled = one_each.join(whole.withColumnRenamed("a", "doc_id"), "doc_id", "left")
-    labelled = cut(labelled.select("mark", "stretch", "doc_id", F.coalesce("b", "doc_id").alias("label")))
+    labelled = cut(one_each.join(linked, "doc_id", "left").withColumn("label", F.coalesce("b", "doc_id")).drop("b"))
     apart = labelled.groupBy("mark").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("mark")
     wanted = cut(labelled.join(apart, "mark").groupBy("doc_id").agg(F.collect_set("stretch").alias("stretches")))
     passages = cut(passages_of(docs, wanted, size))
